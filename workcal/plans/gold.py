@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -94,7 +95,7 @@ def to_gold(
 
 def view_name(regiao: str, year: int) -> str:
     # Fixed value: the name users query a region's monthly rows by.
-    return f"dias_uteis_{regiao}_{year}"
+    return f"dias_uteis_{re.sub(r'[^0-9A-Za-z_]', '_', regiao)}_{year}"
 
 
 def create_views(gold: DataFrame, regions: list[str], year: int) -> None:
