@@ -207,7 +207,7 @@ def upsert_table(
         insert_cols=insert_cols,
         keep_first=keep_first,
     )
-    if not table_exists(spark, path, schema):
+    if not table_exists(spark, path):
         empty = from_rows(spark, [], schema)
         write_partitioned(upsert(empty, source, keys, **options), path, by)
         return

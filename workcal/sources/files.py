@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,12 +99,7 @@ def read_table(
     return reader.schema(schema).load(path).select(*schema.names)
 
 
-def table_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
-    """True when there is something to read at ``path`` (no data is read)."""
-    try:
-        read_table(spark, path, schema)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when there is a folder or file at ``path``, on whatever file system it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
