@@ -33,22 +33,19 @@ def fixed_date(year: Column, month: Column, day: Column) -> Column:
     return F.when(F.month(found) == month, found)
 
 
-def _div(a: Column, b: int) -> Column:
-    return F.call_function("div", a, F.lit(b))
-
-
-def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter Sunday by the anonymous (Meeus/Jones/Butcher) algorithm."""
-    year = year.cast("long")
-    golden = year % 19
-    century, in_century = _div(year, 100), year % 100
-    leap_centuries, century_rest = _div(century, 4), century % 4
-    moon_shift = _div(century - _div(century + 8, 25) + 1, 3)
-    epact = (golden * 19 + century - leap_centuries - moon_shift + 15) % 30
-    leaps, year_rest = _div(in_century, 4), in_century % 4
-    to_sunday = (century_rest * 2 + leaps * 2 - epact - year_rest + 32) % 7
-    correction = _div(golden + epact * 11 + to_sunday * 22, 451)
-    # Days after 22 March: the paschal full moon, moved on to the next Sunday.
-    after = epact + to_sunday - correction * 7
-    march_22 = F.make_date(year.cast("int"), F.lit(3), F.lit(22))
-    return F.date_add(march_22, after.cast("int"))
+def easter_sunday(year: str) -> Column:
+    """Gregorian Easter Sunday of a year, given as a column name or SQL expression.
+
+    The anonymous (Meeus/Jones/Butcher) algorithm, as one SQL expression: days
+    from 22 March to the paschal full moon, and on to the next Sunday.
+    """
+    y = f"CAST({year} AS INT)"
+    century, in_century = f"({y} div 100)", f"({y} % 100)"
+    moon_shift = f"(({century} - ({century} + 8) div 25 + 1) div 3)"
+    epact = f"((19 * ({y} % 19) + {century} - {century} div 4 - {moon_shift} + 15) % 30)"
+    to_sunday = (
+        f"((32 + 2 * ({century} % 4) + 2 * ({in_century} div 4) - {epact} - {in_century} % 4) % 7)"
+    )
+    correction = f"(({y} % 19 + 11 * {epact} + 22 * {to_sunday}) div 451)"
+    days = f"CAST({epact} + {to_sunday} - 7 * {correction} AS INT)"
+    return F.expr(f"date_add(make_date({y}, 3, 22), {days})")

@@ -34,23 +34,28 @@ def expand_rules(rules: DataFrame, first_year: int, last_year: int) -> DataFrame
     yearly = rules.select(
         "*", F.explode(F.when(start <= stop, F.sequence(start, stop))).alias("ano")
     )
-    on_easter = F.date_add(easter_sunday(F.col("ano")), F.col("offset"))
+    movable = F.col("kind") == "easter"
     on_fixed = fixed_date(F.col("ano"), F.col("month"), F.col("day"))
+    # Decided without the Easter arithmetic, which then runs once per row.
+    exists = F.when(movable, F.col("offset").isNotNull()).otherwise(on_fixed.isNotNull())
     national = F.col("scope") == NATIONAL
-    return yearly.select(
-        F.when(F.col("kind") == "easter", on_easter).otherwise(on_fixed).alias("data"),
+    return yearly.filter(exists).select(
+        F.when(movable, F.date_add(easter_sunday("ano"), F.col("offset")))
+        .otherwise(on_fixed)
+        .alias("data"),
         "nome",
         F.when(national, TIPO_NATIONAL).otherwise(TIPO_STATE).alias("tipo"),
         F.col("scope").alias("estado"),
-    ).filter(F.col("data").isNotNull())
+    )
 
 
 def merge_same_day(holidays: DataFrame) -> DataFrame:
     """One row per day and state; the names that fall together are joined by ``; ``.
 
-    Equal names are folded on the map side first, so a group holds the distinct
-    rule names of one day and state, however many rows carry them.
+    Equal names fold on the map side, so a group holds the distinct rule names of
+    one day and state, however many rows carry them.
     """
+    names = F.array_sort(F.collect_set("nome"))
     return holidays.groupBy("data", "tipo", "estado").agg(
-        F.expr("listagg(DISTINCT nome, '; ') WITHIN GROUP (ORDER BY nome)").alias("nome")
+        F.when(F.size(names) > 0, F.array_join(names, "; ")).alias("nome")
     ).select("data", "nome", "tipo", "estado")

@@ -11,13 +11,12 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import easter_sunday
 from ..operators.calendar import default_rules, expand_rules, merge_same_day
-from ..operators.workdays import day_counts
-from ..operators.workdays import region_holiday_counts
+from ..operators.cleaning import first_per_key
+from ..operators.workdays import day_counts, region_holiday_counts
 from ..schemas import NATIONAL_RULES, RULES
 from ..sources import group_spine
 
@@ -27,8 +26,25 @@ LOAD_TS = dt.datetime(2024, 3, 1, 6, 0, 0)
 LOAD_DATE = LOAD_TS.date()
 
 
+# Schemas of the test tables: reading needs no look at the files first.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def money(column: str) -> Column:
@@ -55,44 +71,41 @@ def orders_by_state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rules(spark: SparkSession, sf: str) -> DataFrame:
-    """National rules, and per state: the busiest day of each month, and the
-    busiest distance from Easter Sunday, in the years the state has orders."""
+    """National rules, and per state: the busiest day of each month and the busiest
+    distance from Easter Sunday, from the first to the last year with such orders."""
     daily = orders_by_state(spark, sf).groupBy("uf", "dia").agg(F.count("*").alias("n"))
-    years = [F.min("ano").alias("valid_from"), F.max("ano").alias("valid_to")]
-    dated = daily.select(
-        "uf",
-        "n",
-        F.year("dia").alias("ano"),
-        F.month("dia").alias("month"),
-        F.dayofmonth("dia").alias("day"),
-        F.date_diff("dia", easter_sunday(F.year("dia"))).alias("offset"),
-    )
-    active = dated.groupBy("uf").agg(*years)
-
-    def busiest(within: list[str], value: str) -> DataFrame:
-        order = W.partitionBy(*within).orderBy(F.desc("n"), value)
-        counted = dated.groupBy(*within, value).agg(F.sum("n").alias("n"))
-        return counted.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
-
     none = F.lit(None).cast("int")
-    fixed = busiest(["uf", "month"], "day").select(
-        F.concat(F.lit("Dia do estado "), "uf").alias("nome"),
-        F.lit("fixed").alias("kind"),
-        "month",
-        "day",
-        none.alias("offset"),
+    to_easter = F.date_diff("dia", easter_sunday("year(dia)"))
+    # Each day speaks for two rules: its place in the month, and in the Easter cycle.
+    votes = daily.select(
         F.col("uf").alias("scope"),
+        "n",
+        F.year("dia").alias("ano"),
+        F.inline(
+            F.array(
+                F.struct(
+                    F.lit("fixed").alias("kind"),
+                    F.month("dia").alias("month"),
+                    F.dayofmonth("dia").alias("day"),
+                    none.alias("offset"),
+                ),
+                F.struct(
+                    F.lit("easter").alias("kind"),
+                    none.alias("month"),
+                    none.alias("day"),
+                    to_easter.alias("offset"),
+                ),
+            )
+        ),
     )
-    movable = busiest(["uf"], "offset").select(
-        F.concat(F.lit("Festa movel "), "uf").alias("nome"),
-        F.lit("easter").alias("kind"),
-        none.alias("month"),
-        none.alias("day"),
-        "offset",
-        F.col("uf").alias("scope"),
+    counted = votes.groupBy("scope", "kind", "month", "day", "offset").agg(
+        F.sum("n").alias("n"), F.min("ano").alias("valid_from"), F.max("ano").alias("valid_to")
     )
-    state_rules = fixed.unionByName(movable).join(active.withColumnRenamed("uf", "scope"), "scope")
-    return default_rules(spark, states=False).unionByName(state_rules.select(*RULES.names))
+    name = F.when(F.col("kind") == "fixed", "Dia do estado ").otherwise("Festa movel ")
+    busiest = first_per_key(
+        counted, ["scope", "kind", "month"], [F.desc("n"), F.asc("day"), F.asc("offset")]
+    ).withColumn("nome", F.concat(name, "scope"))
+    return default_rules(spark, states=False).unionByName(busiest.select(*RULES.names))
 
 
 def calendar(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,21 +192,22 @@ RULES_SQL = f"""daily AS (
   SELECT uf, n, CAST(year(dia) AS INT) AS ano, month(dia) AS month, day(dia) AS day,
     dia - domingo AS off
   FROM (SELECT uf, dia, count(*) AS n FROM placed GROUP BY uf, dia) JOIN easter ON y = year(dia)),
-active AS (SELECT uf, min(ano) AS valid_from, max(ano) AS valid_to FROM daily GROUP BY uf),
 busy_day AS (
-  SELECT uf, month, day FROM (SELECT uf, month, day, sum(n) AS n FROM daily GROUP BY uf, month, day)
+  SELECT * FROM (SELECT uf, month, day, sum(n) AS n, min(ano) AS valid_from, max(ano) AS valid_to
+    FROM daily GROUP BY uf, month, day)
   QUALIFY row_number() OVER (PARTITION BY uf, month ORDER BY n DESC, day) = 1),
 busy_offset AS (
-  SELECT uf, off FROM (SELECT uf, off, sum(n) AS n FROM daily GROUP BY uf, off)
+  SELECT * FROM (SELECT uf, off, sum(n) AS n, min(ano) AS valid_from, max(ano) AS valid_to
+    FROM daily GROUP BY uf, off)
   QUALIFY row_number() OVER (PARTITION BY uf ORDER BY n DESC, off) = 1),
 rules(nome, kind, month, day, off, scope, valid_from, valid_to) AS (
   VALUES {", ".join("(" + ", ".join(_sql_value(v) for v in r) + ")" for r in NATIONAL_RULES)}
   UNION ALL
   SELECT 'Dia do estado ' || uf, 'fixed', month, day, NULL, uf, valid_from, valid_to
-  FROM busy_day JOIN active USING (uf)
+  FROM busy_day
   UNION ALL
   SELECT 'Festa movel ' || uf, 'easter', NULL, NULL, off, uf, valid_from, valid_to
-  FROM busy_offset JOIN active USING (uf))"""
+  FROM busy_offset)"""
 
 CALENDAR = f"""expanded AS (
   SELECT CASE WHEN kind = 'easter' THEN domingo + CAST(off AS INT)

@@ -195,5 +195,5 @@ def scalar_functions(spark: SparkSession, sf: str) -> DataFrame:
         is_weekend(dia).alias("fim_de_semana"),
         F.size(until).alias("dias_do_mes"),
         (F.col("o_orderkey") / 4 * 100).alias("percentual"),
-        easter_sunday(F.year(dia)).alias("pascoa"),
+        easter_sunday("year(dia)").alias("pascoa"),
     )
