@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import stage
-from ..sinks import overwrite_partitions, write_partitioned
+from ..sinks import overwrite_partitions, remove_folder, write_partitioned
 from ..sources import from_rows, read_table, table_exists
 from .cleaning import first_per_key
 
@@ -148,27 +149,14 @@ def _key_range(staged: DataFrame, keys: Sequence[str]) -> Column:
     )
 
 
-def _sql_literal(value) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(value, (int, float)):
-        return str(value)
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def clear_partitions(
     spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str], parts: Sequence[Row]
 ) -> None:
-    """Remove all rows of the given partitions."""
-    rest = T.StructType([f for f in schema.fields if f.name not in by])
-    spark.read.schema(schema).parquet(path).createOrReplaceTempView("_workcal_clear")
-    none = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in rest.fields)
-    for part in parts:
-        where = ", ".join(f"`{c}` = {_sql_literal(v)}" for c, v in zip(by, part))
-        spark.sql(
-            f"INSERT OVERWRITE TABLE _workcal_clear PARTITION ({where}) SELECT {none} WHERE false"
-        )
-    spark.catalog.dropTempView("_workcal_clear")
+    """Remove the folders of the given partitions."""
+    held = spark.read.schema(schema).parquet(path).filter(_in_partitions(parts, by))
+    files = held.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
+    for folder in sorted({unquote(row.file).rsplit("/", 1)[0] for row in files}):
+        remove_folder(spark, folder)
 
 
 def upsert_table(

@@ -1,4 +1,16 @@
 """Writers."""
-from .files import overwrite_partitions, write_csv, write_json, write_partitioned
+from .files import (
+    overwrite_partitions,
+    remove_folder,
+    write_csv,
+    write_json,
+    write_partitioned,
+)
 
-__all__ = ["overwrite_partitions", "write_csv", "write_json", "write_partitioned"]
+__all__ = [
+    "overwrite_partitions",
+    "remove_folder",
+    "write_csv",
+    "write_json",
+    "write_partitioned",
+]

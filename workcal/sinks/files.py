@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -42,3 +42,8 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
         .partitionBy(*by)
         .parquet(path)
     )
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
