@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import SATURDAY, SUNDAY
-from ..schemas import ERROR, SUCCESS
+from ..schemas import ERROR, NO_HOLIDAYS, SUCCESS
 from .regions import is_valid, with_national
 
 _WEEKEND = (SUNDAY, SATURDAY)
@@ -141,7 +141,7 @@ def region_totals(
         ),
         F.when(found, SUCCESS).otherwise(ERROR).alias("processing_status"),
         F.when(
-            ~found, F.concat(F.lit("Sem dados válidos para região "), F.concat_ws("/", *by))
+            ~found, F.concat(F.lit(NO_HOLIDAYS), F.concat_ws("/", *by))
         ).alias("error_message"),
     )
 

@@ -87,7 +87,7 @@ def to_bronze(
             return result(
                 FILE_INVALID,
                 records_processed=spark.read.text(file_path).count(),
-                error_message=f"Estrutura do JSON inválida: {', '.join(missing)}",
+                error_message=f"Colunas ausentes: {', '.join(missing)}",
             )
         seen = Observation("bronze")
         valid = F.col("status_processamento") == VALID
@@ -117,5 +117,5 @@ def to_bronze(
         if counts["invalid_records"]:
             write_partitioned(staged.filter(~valid), quarantine_path, BRONZE_PARTITIONS)
     except PySparkException as error:
-        return result(FILE_ERROR, records_processed=0, error_message=f"Erro no processamento: {error}")
+        return result(FILE_ERROR, records_processed=0, error_message=f"Falha ao carregar o arquivo: {error}")
     return result(FILE_PROCESSED, **counts, ano=partition_date.year, mes=partition_date.month)

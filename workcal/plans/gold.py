@@ -74,7 +74,7 @@ def to_gold(
     written all the same.
     """
     if read_table(spark, silver_path, SILVER).isEmpty():
-        raise ValueError("Sem dados na camada Silver")
+        raise ValueError("Nenhum registro em silver")
     holidays = silver_year(spark, silver_path, year, require_status=require_status)
     days = region_days(holidays, states, year, year)
     upsert_table(

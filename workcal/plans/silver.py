@@ -88,7 +88,7 @@ def to_silver(
         )
         counts = seen.get
         if not counts["total_records"]:
-            return result(ERROR, error_message="Não há dados na camada Bronze para processar")
+            return result(ERROR, error_message="Nenhum registro em bronze")
         upsert_table(
             read_table(spark, staged_path, SILVER),
             silver_path,
@@ -101,7 +101,7 @@ def to_silver(
             staged=True,
         )
     except PySparkException as error:
-        return result(ERROR, error_message=f"Erro na transformação dos dados: {error}")
+        return result(ERROR, error_message=f"Falha ao processar silver: {error}")
     if not counts["error_records"]:
         status = SUCCESS
     else:

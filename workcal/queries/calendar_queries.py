@@ -22,6 +22,7 @@ from ..operators.workdays import (
     workday_profile,
 )
 from ..plans.gold import create_views, view_name
+from ..scratch import stage
 from ..sources import date_spine, group_spine
 from . import inputs as i
 from .registry import query
@@ -182,8 +183,8 @@ def region_status(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(MONTHLY_SQL.replace("GROUP BY regiao", "WHERE ano = 1997 GROUP BY regiao"))
 def workday_views(spark: SparkSession, sf: str) -> DataFrame:
-    """The months of 1997 through the session view of each region."""
-    monthly = monthly_workdays(i.region_days(spark, sf).filter(F.col("ano") == 1997), ["regiao"])
+    """The months of 1997 through the session view of each region, over a stored report."""
+    monthly = stage(monthly_workdays(i.region_days(spark, sf), ["regiao"]), "monthly")
     # The names in the region table.
     regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
     create_views(monthly, regions, 1997)

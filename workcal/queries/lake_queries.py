@@ -60,11 +60,11 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, customer.schema)
 
 
-@query("SELECT * FROM (SELECT COLUMNS(*)::VARCHAR FROM nation)")
+@query("SELECT * FROM (SELECT COLUMNS(*)::VARCHAR FROM customer)")
 def csv_as_text(spark: SparkSession, sf: str) -> DataFrame:
     """Without a schema every CSV column is text."""
-    path = scratch_dir(spark, "nation-csv")
-    write_csv(i.table(spark, sf, "nation"), path)
+    path = scratch_dir(spark, "customer-text")
+    write_csv(i.table(spark, sf, "customer"), path)
     return read_csv(spark, path)
 
 

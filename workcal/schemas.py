@@ -74,6 +74,9 @@ NATIONAL = "ALL"
 TIPO_NATIONAL = "Nacional"
 TIPO_STATE = "Estadual"
 
+# Start of the message for a region without valid holidays.
+NO_HOLIDAYS = "Sem dados válidos para região "
+
 # Data source recorded in silver.
 SOURCE_NAME = "API_HOLIDAYS"
 

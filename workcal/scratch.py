@@ -9,18 +9,23 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="workcal-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unused folder path below the session's shared scratch folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="workcal-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/workcal/{name}-{uuid.uuid4().hex}"
 
 
