@@ -80,11 +80,14 @@ def test_small_load_is_broadcast_and_the_table_not_shuffled(spark, plan, tmp_pat
     spark.range(1000).selectExpr("int(id) k", "string(id) v").write.parquet(f"{tmp_path}/t")
     spark.range(10).selectExpr("int(id) k", "string(id) v").write.parquet(f"{tmp_path}/s")
     target, load = (read_table(spark, f"{tmp_path}/{n}", schema) for n in "ts")
-    text = plan(upsert(target, load, ["k"]))
-    update = text.split("LeftAnti")[0]
-    assert re.search(r"BroadcastHashJoin \[k#\d+\], \[k#\d+\], LeftOuter, BuildRight", update)
-    before_broadcast = update.split("BroadcastExchange")[0]
-    assert "Exchange hashpartitioning" not in before_broadcast
+    text = plan(upsert(target, load, ["k"], single_keys=True))
+    assert re.search(r"BroadcastHashJoin \[k#\d+\], \[k#\d+\], LeftOuter, BuildRight", text)
+    assert re.search(r"BroadcastHashJoin \[k#\d+\], \[k#\d+\], LeftSemi, BuildRight", text)
+    # The one shuffle of target keys comes after they were cut to those of the load.
+    updates, inserts = text.split("LeftAnti")
+    assert "Exchange hashpartitioning" not in updates
+    kept = inserts[: inserts.index("LeftSemi")]
+    assert kept.rindex("HashAggregate") > kept.rindex("Exchange hashpartitioning")
 
 
 def test_large_load_is_not_broadcast(spark, plan, tmp_path):

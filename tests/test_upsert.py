@@ -188,6 +188,13 @@ def test_match_in_another_partition_is_not_inserted(spark, tmp_path):
     assert _stored(spark, path) == [(1, "a", 2024, 1), (5, "E", 2024, 2)]
 
 
+def test_moves_with_repeated_keys_in_the_load(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    _put(spark, path, [(1, "a", 2024, 1), (2, "b", 2024, 2)])
+    _put(spark, path, [(1, "x", 2024, 2), (1, "y", 2024, 3)], keep_first=["v"])
+    assert _stored(spark, path) == [(1, "x", 2024, 2), (2, "b", 2024, 2)]
+
+
 def test_update_without_the_partition_columns_does_not_move(spark, tmp_path):
     path = f"{tmp_path}/t"
     _put(spark, path, [(1, "a", 2024, 1)])

@@ -48,6 +48,20 @@ def single_source_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.withColumn("_rank", rank).filter("_rank <= 2").filter(single).drop("_rank")
 
 
+def one_row_per_key(
+    source: DataFrame, keys: Sequence[str], keep_first: Sequence[str | Column] | None = None
+) -> DataFrame:
+    """``source`` with single keys: repeated ones fail, or the first in the order
+    ``keep_first`` is taken. Rows without a complete key all stay."""
+    complete = _complete(keys)
+    keyed = source.filter(complete)
+    if keep_first is None:
+        keyed = single_source_rows(keyed, keys)
+    else:
+        keyed = first_per_key(keyed, keys, keep_first)
+    return keyed.unionByName(source.filter(~complete))
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -58,6 +72,7 @@ def upsert(
     insert_if: Condition = None,
     insert_cols: Sequence[str] | None = None,
     keep_first: Sequence[str | Column] | None = None,
+    single_keys: bool = False,
 ) -> DataFrame:
     """``target`` after the load ``source``, with the columns of ``target``.
 
@@ -69,12 +84,13 @@ def upsert(
     target rows stay and such source rows are inserted.
 
     Two source rows with one key are an error, unless ``keep_first`` gives the
-    order in which the first of them is taken.
+    order in which the first of them is taken. ``single_keys`` says that there are
+    none. The source is read for updates and for inserts: stage one that is costly.
 
-    The work is a left join for the updates and an anti join for the inserts
-    rather than one full outer join: the first can broadcast a small load, so the
-    target is not shuffled, and both leave a repeated target key to be split.
-    Rows with a NULL key take part in neither join.
+    The work is a left join for the updates and, for the inserts, an anti join with
+    the keys both sides have, rather than one full outer join: a small load can be
+    broadcast to the target, which is then not shuffled, and a repeated target key
+    can be split. Rows with a NULL key take part in no join.
     """
     columns = target.columns
     update_cols = columns if update_cols is None else update_cols
@@ -82,11 +98,9 @@ def upsert(
     complete = _complete(keys)
     same_key = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
 
+    if not single_keys:
+        source = one_row_per_key(source, keys, keep_first)
     keyed = source.filter(complete)
-    if keep_first is None:
-        keyed = single_source_rows(keyed, keys)
-    else:
-        keyed = first_per_key(keyed, keys, keep_first)
     keyed_target = target.filter(complete)
 
     take = F.coalesce(F.col("_hit"), F.lit(False)) & _condition(update_if)
@@ -109,9 +123,15 @@ def upsert(
         else F.lit(None).cast(f.dataType).alias(f.name)
         for f in target.schema.fields
     ]
-    unmatched = keyed.alias("source").join(
-        keyed_target.select(*keys).alias("target"), same_key, "left_anti"
+    # The load's keys that the target has: as few as the load, however large the
+    # target, and each once, however often the target repeats it.
+    present = (
+        keyed_target.select(*keys)
+        .alias("target")
+        .join(keyed.select(*keys).alias("source"), same_key, "left_semi")
+        .distinct()
     )
+    unmatched = keyed.alias("source").join(present.alias("target"), same_key, "left_anti")
     without_key = source.filter(~complete).alias("source")
     inserted = [
         rows.filter(_condition(insert_if)).select(*new) for rows in (unmatched, without_key)
@@ -172,14 +192,14 @@ def upsert_table(
     insert_if: Condition = None,
     insert_cols: Sequence[str] | None = None,
     keep_first: Sequence[str | Column] | None = None,
-    staged: bool = False,
+    single_keys: bool = False,
 ) -> None:
     """``upsert`` into the partitioned Parquet table at ``path``.
 
     A missing table is created from the rows that qualify for insertion. For an
-    existing one the load is written to the scratch folder once (or is there
-    already: ``staged``), the partitions it touches are found, and only those are
-    read and replaced. ``partitions_follow_keys`` says that equal keys always lie
+    existing one the load, with its keys made single, is written to the scratch
+    folder once (``single_keys`` says it is such a table already), the partitions it
+    touches are found, and only those are read and replaced. ``partitions_follow_keys`` says that equal keys always lie
     in one partition; otherwise the key columns of the table are searched for
     rows that lie elsewhere, and a partition left without rows is cleared.
 
@@ -193,14 +213,16 @@ def upsert_table(
         update_cols=update_cols,
         insert_if=insert_if,
         insert_cols=insert_cols,
-        keep_first=keep_first,
+        single_keys=True,
     )
+    if not single_keys:
+        source = one_row_per_key(source, keys, keep_first)
     if not table_exists(spark, path):
         empty = from_rows(spark, [], schema)
         write_partitioned(upsert(empty, source, keys, **options), path, by)
         return
 
-    load = source if staged else stage(source, "load")
+    load = source if single_keys else stage(source, "load")
     target = read_table(spark, path, schema)
     touched = set(load.select(*by).distinct().collect())
     emptied: list[Row] = []

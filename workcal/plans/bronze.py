@@ -112,7 +112,6 @@ def to_bronze(
             BRONZE_PARTITIONS,
             partitions_follow_keys=False,
             keep_first=keep_first,
-            staged=True,
         )
         if counts["invalid_records"]:
             write_partitioned(staged.filter(~valid), quarantine_path, BRONZE_PARTITIONS)

@@ -98,7 +98,7 @@ def to_silver(
             partitions_follow_keys=True,
             update_if=f"source.status_processamento = '{SUCCESS}'",
             update_cols=SILVER_UPDATES,
-            staged=True,
+            single_keys=True,
         )
     except PySparkException as error:
         return result(ERROR, error_message=f"Falha ao processar silver: {error}")

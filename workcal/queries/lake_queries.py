@@ -12,7 +12,7 @@ from ..operators.upsert import upsert, upsert_table
 from ..plans import bronze_rows, extract, landing_path, run_report, to_bronze, to_gold, to_silver
 from ..plans.bronze import QUARANTINE
 from ..schemas import BRONZE, GOLD, REQUIRED_COLUMNS, columns
-from ..scratch import scratch_dir
+from ..scratch import scratch_dir, stage
 from ..sinks import write_csv, write_partitioned
 from ..sources import json_columns_seen, read_csv, read_json_lines, read_table
 from . import inputs as i
@@ -199,9 +199,8 @@ WHERE in_target OR {insert_if}"""
 def upsert_valid_only(spark: SparkSession, sf: str) -> DataFrame:
     """Valid rows replace or join the table; others change nothing."""
     valid = "source.status = 'VALID'"
-    return upsert(
-        _target(spark, sf), _load(spark, sf), ["pedido", "fila"], update_if=valid, insert_if=valid
-    )
+    load = stage(_load(spark, sf), "load")
+    return upsert(_target(spark, sf), load, ["pedido", "fila"], update_if=valid, insert_if=valid)
 
 
 _UPDATED = ("valor", "situacao")
@@ -213,7 +212,7 @@ def upsert_partial_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Valid rows update two columns; every new row is inserted, without one column."""
     return upsert(
         _target(spark, sf),
-        _load(spark, sf),
+        stage(_load(spark, sf), "load"),
         ["pedido", "fila"],
         update_if="source.status = 'VALID'",
         update_cols=_UPDATED,
