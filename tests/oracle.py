@@ -66,7 +66,8 @@ def differences(df, con, sql: str) -> list[str]:
     if got_names != want_names:
         found.append(f"columns {got_names} != {want_names}")
     elif got_types != want_types:
-        found.append(f"types { {k: (got_types[k], want_types[k]) for k in got_types if got_types[k] != want_types[k]} }")
+        both = {k: (got_types[k], want_types[k]) for k in got_types}
+        found.append(f"types { {k: v for k, v in both.items() if v[0] != v[1]} }")
     if got != want:
         found.append(
             f"rows {sum(got.values())} / {sum(want.values())}; "

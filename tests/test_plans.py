@@ -90,6 +90,40 @@ def test_small_load_is_broadcast_and_the_table_not_shuffled(spark, plan, tmp_pat
     assert kept.rindex("HashAggregate") > kept.rindex("Exchange hashpartitioning")
 
 
+def test_hot_target_key_can_be_split(spark, tmp_path):
+    """A third of the target under one key, beyond the broadcast limit: adaptive
+    execution splits the wide rows of that key, and all of them are there."""
+    schema = columns("k int, v string, pad string")
+    pad = "repeat(uuid(), 20) AS pad"
+    spark.range(60000).selectExpr(
+        "int(if(id < 20000, 7, id)) k", "string(id) v", pad
+    ).write.parquet(f"{tmp_path}/t")
+    spark.range(50000, 70000).union(spark.range(7, 8)).selectExpr(
+        "int(id) k", "'new' v", "'' AS pad"
+    ).write.parquet(f"{tmp_path}/s")
+    target, load = (read_table(spark, f"{tmp_path}/{n}", schema) for n in "ts")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        merged = upsert(target, load, ["k"], single_keys=True).groupBy("v").count()
+        rows = {r.v: r["count"] for r in merged.collect()}
+        final = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert rows["new"] == 20000 + 10000 + 10000 and sum(rows.values()) == 70000
+    final = final.split("Initial Plan")[0]
+    assert re.search(r"SortMergeJoin\(skew=true\)[^\n]*LeftOuter", final)
+
+
 def test_large_load_is_not_broadcast(spark, plan, tmp_path):
     """Beyond Spark's size limit the same operator sorts and merges, with the same rows."""
     schema = columns("k int, v string")

@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 from workcal.operators.upsert import clear_partitions, upsert, upsert_table
 from workcal.schemas import columns
 from workcal.sources import from_rows, read_table

@@ -5,10 +5,10 @@ These write below the session's shared scratch folder and read back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import upsert, upsert_table
+from ..operators.upsert import one_row_per_key, upsert, upsert_table
 from ..plans import bronze_rows, extract, landing_path, run_report, to_bronze, to_gold, to_silver
 from ..plans.bronze import QUARANTINE
 from ..schemas import BRONZE, GOLD, REQUIRED_COLUMNS, columns
@@ -128,8 +128,10 @@ def required_columns(spark: SparkSession, sf: str) -> DataFrame:
 # are all orders: older ones stay, common ones may change, later ones are new.
 # ``fila`` is part of the key and NULL for low-priority orders.
 
+_KEYS = ("pedido", "fila")
 
-def _queue():
+
+def _queue() -> Column:
     return F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("fila")
 
 
@@ -147,12 +149,13 @@ def _target(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _load(spark: SparkSession, sf: str) -> DataFrame:
+    """The load with single keys, staged: an upsert reads it several times."""
     day = F.col("o_orderdate").cast("date")
     items = i.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         F.sum("l_quantity").alias("valor"), F.max("l_linestatus").alias("situacao")
     )
     orders = i.table(spark, sf, "orders").filter(day >= "1998-01-01")
-    return orders.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+    load = orders.join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
         F.col("o_orderkey").alias("pedido"),
         _queue(),
         F.col("o_custkey").alias("cliente"),
@@ -163,6 +166,7 @@ def _load(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "P", "INVALID")
         .alias("status"),
     )
+    return stage(one_row_per_key(load, _KEYS), "load")
 
 
 _UPSERT_PARTS = [
@@ -199,8 +203,14 @@ WHERE in_target OR {insert_if}"""
 def upsert_valid_only(spark: SparkSession, sf: str) -> DataFrame:
     """Valid rows replace or join the table; others change nothing."""
     valid = "source.status = 'VALID'"
-    load = stage(_load(spark, sf), "load")
-    return upsert(_target(spark, sf), load, ["pedido", "fila"], update_if=valid, insert_if=valid)
+    return upsert(
+        _target(spark, sf),
+        _load(spark, sf),
+        _KEYS,
+        update_if=valid,
+        insert_if=valid,
+        single_keys=True,
+    )
 
 
 _UPDATED = ("valor", "situacao")
@@ -212,11 +222,12 @@ def upsert_partial_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Valid rows update two columns; every new row is inserted, without one column."""
     return upsert(
         _target(spark, sf),
-        stage(_load(spark, sf), "load"),
-        ["pedido", "fila"],
+        _load(spark, sf),
+        _KEYS,
         update_if="source.status = 'VALID'",
         update_cols=_UPDATED,
         insert_cols=_INSERTED,
+        single_keys=True,
     )
 
 
