@@ -255,7 +255,7 @@ def shipments_on_workdays(spark: SparkSession, sf: str) -> DataFrame:
         [
             i.EASTER,
             f"""rules(nome, kind, month, day, off, scope, valid_from, valid_to) AS (
-  VALUES {", ".join("(" + ", ".join(i._sql_value(v) for v in r) + ")" for r in i.NATIONAL_RULES)})""",
+  VALUES {", ".join("(" + ", ".join(i.sql_value(v) for v in r) + ")" for r in i.NATIONAL_RULES)})""",
             i.CALENDAR.replace(str(i.FIRST_YEAR), "2024").replace(str(i.LAST_YEAR), "2024"),
         ],
         """SELECT event_type, CAST(dayofweek(dia) + 1 AS INT) AS dia_semana,

@@ -182,7 +182,7 @@ EASTER = """easter AS (
     FROM (SELECT unnest(range(1990, 2031)) AS y)))"""
 
 
-def _sql_value(value) -> str:
+def sql_value(value) -> str:
     if value is None:
         return "NULL"
     return f"'{value}'" if isinstance(value, str) else str(value)
@@ -201,7 +201,7 @@ busy_offset AS (
     FROM daily GROUP BY uf, off)
   QUALIFY row_number() OVER (PARTITION BY uf ORDER BY n DESC, off) = 1),
 rules(nome, kind, month, day, off, scope, valid_from, valid_to) AS (
-  VALUES {", ".join("(" + ", ".join(_sql_value(v) for v in r) + ")" for r in NATIONAL_RULES)}
+  VALUES {", ".join("(" + ", ".join(sql_value(v) for v in r) + ")" for r in NATIONAL_RULES)}
   UNION ALL
   SELECT 'Dia do estado ' || uf, 'fixed', month, day, NULL, uf, valid_from, valid_to
   FROM busy_day
