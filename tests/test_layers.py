@@ -102,6 +102,15 @@ def test_gold_of_known_months(lake, spark):
     assert july["sudeste"] == (22, 1) and july["nordeste"] == (22, 1) and july["sul"] == (23, 0)
 
 
+def test_views_over_the_stored_report(lake, spark):
+    lake.load(T1)
+    to_gold(
+        spark, lake.path("silver"), lake.path("gold"), region_map(spark), 2024, T1, views=True
+    )
+    rows = spark.sql("SELECT mes, total_dias FROM dias_uteis_centro_oeste_2024").collect()
+    assert [r.mes for r in rows] == list(range(1, 13)) and sum(r.total_dias for r in rows) == 366
+
+
 def test_landing_columns(lake, spark):
     landing = lake.load(T1)[0].first()
     rows = read_json_lines(spark, landing.file_path, LANDING)

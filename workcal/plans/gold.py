@@ -67,11 +67,12 @@ def to_gold(
     load_ts: dt.datetime,
     *,
     require_status: bool = False,
+    views: bool = False,
 ) -> DataFrame:
     """Refresh the year's monthly rows; returns one metrics row per region.
 
     A region without valid holidays gets status ERRO and no rows; the others are
-    written all the same.
+    written all the same. ``views`` also creates the session view of each region.
     """
     if read_table(spark, silver_path, SILVER).isEmpty():
         raise ValueError("Nenhum registro em silver")
@@ -86,10 +87,13 @@ def to_gold(
         partitions_follow_keys=True,
     )
     # The metrics come from the rows just written, not from a second run of the plan.
-    written = read_table(spark, gold_path, GOLD).filter(
+    gold = read_table(spark, gold_path, GOLD)
+    written = gold.filter(
         (F.col("ano") == year) & (F.col("dt_processamento") == F.lit(load_ts).cast("timestamp"))
     )
     regions = states.select("regiao").distinct().withColumn("ano", F.lit(year))
+    if views:
+        create_views(gold, [row.regiao for row in regions.collect()], year)
     return region_totals(written, groups=regions)
 
 
