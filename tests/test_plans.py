@@ -1,5 +1,6 @@
 """Physical plans: what is read, what is shuffled, what stays out of Python."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -7,13 +8,13 @@ from pyspark.sql import functions as F
 from workcal.operators.cleaning import first_per_key
 from workcal.operators.regions import holidays_by_region, region_map
 from workcal.operators.upsert import upsert
-from workcal.operators.workdays import region_holiday_counts
+from workcal.operators.workdays import calendar_join, region_holiday_counts
 from workcal.plans.gold import silver_year
 from workcal.queries import QUERIES
 from workcal.queries import inputs as i
 from workcal.schemas import SILVER, columns
 from workcal.sinks import write_partitioned
-from workcal.sources import from_rows, read_table
+from workcal.sources import date_spine, from_rows, read_table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -90,18 +91,9 @@ def test_small_load_is_broadcast_and_the_table_not_shuffled(spark, plan, tmp_pat
     assert kept.rindex("HashAggregate") > kept.rindex("Exchange hashpartitioning")
 
 
-def test_hot_target_key_can_be_split(spark, tmp_path):
-    """A third of the target under one key, beyond the broadcast limit: adaptive
-    execution splits the wide rows of that key, and all of them are there."""
-    schema = columns("k int, v string, pad string")
-    pad = "repeat(uuid(), 20) AS pad"
-    spark.range(60000).selectExpr(
-        "int(if(id < 20000, 7, id)) k", "string(id) v", pad
-    ).write.parquet(f"{tmp_path}/t")
-    spark.range(50000, 70000).union(spark.range(7, 8)).selectExpr(
-        "int(id) k", "'new' v", "'' AS pad"
-    ).write.parquet(f"{tmp_path}/s")
-    target, load = (read_table(spark, f"{tmp_path}/{n}", schema) for n in "ts")
+@pytest.fixture
+def small_skew_limits(spark):
+    """Adaptive execution as on a large cluster, at the size of test data."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -112,18 +104,47 @@ def test_hot_target_key_can_be_split(spark, tmp_path):
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
-    try:
-        merged = upsert(target, load, ["k"], single_keys=True).groupBy("v").count()
-        rows = {r.v: r["count"] for r in merged.collect()}
-        final = merged._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_target_key_can_be_split(spark, plan, tmp_path, small_skew_limits):
+    """A third of the target under one key, beyond the broadcast limit: adaptive
+    execution splits the wide rows of that key, and all of them are there."""
+    schema = columns("k int, v string, pad string")
+    spark.range(60000).selectExpr(
+        "int(if(id < 20000, 7, id)) k", "string(id) v", "repeat(uuid(), 20) AS pad"
+    ).write.parquet(f"{tmp_path}/t")
+    spark.range(50000, 70000).union(spark.range(7, 8)).selectExpr(
+        "int(id) k", "'new' v", "'' AS pad"
+    ).write.parquet(f"{tmp_path}/s")
+    target, load = (read_table(spark, f"{tmp_path}/{n}", schema) for n in "ts")
+    merged = upsert(target, load, ["k"], single_keys=True).groupBy("v").count()
+    rows = {r.v: r["count"] for r in merged.collect()}
     assert rows["new"] == 20000 + 10000 + 10000 and sum(rows.values()) == 70000
-    final = final.split("Initial Plan")[0]
+    final = plan(merged).split("Initial Plan")[0]
     assert re.search(r"SortMergeJoin\(skew=true\)[^\n]*LeftOuter", final)
 
 
+def test_hot_day_of_the_calendar_join_can_be_split(spark, plan, tmp_path, small_skew_limits):
+    """A third of all holidays on one day, joined row by row."""
+    spark.range(60000).selectExpr(
+        "date_add(date'2024-01-01', int(if(id < 20000, 7, id % 300))) data",
+        "'SP' estado",
+        "uuid() AS nome",
+    ).write.parquet(f"{tmp_path}/h")
+    holidays = read_table(spark, f"{tmp_path}/h", columns("data date, estado string, nome string"))
+    spine = date_spine(spark, dt.date(2024, 1, 1), dt.date(2024, 12, 31))
+    joined = calendar_join(spine, holidays).groupBy("dia_semana").agg(
+        F.count("nome").alias("n"), F.count("*").alias("rows")
+    )
+    rows = joined.collect()
+    assert sum(r.n for r in rows) == 60000 and sum(r.rows for r in rows) == 60000 + 66
+    final = plan(joined).split("Initial Plan")[0]
+    assert re.search(r"SortMergeJoin\(skew=true\)[^\n]*Inner", final)
+
+
 def test_large_load_is_not_broadcast(spark, plan, tmp_path):
     """Beyond Spark's size limit the same operator sorts and merges, with the same rows."""
     schema = columns("k int, v string")
