@@ -1,31 +1,23 @@
 """Working folders for intermediate tables.
 
 An intermediate table goes to the shared folder that the cluster names in
-``spark.checkpoint.dir``, so it survives the loss of executors. Only a local
-session without that setting (a test) gets a temporary folder of its own.
+``spark.checkpoint.dir``, so it survives the loss of executors. Where a session
+has no such setting, the folder ``_scratch`` below its warehouse is used, which is
+shared as well.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="workcal-")
-
-
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unused folder path below the session's shared scratch folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = _local_root()
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{root.rstrip('/')}/workcal/{name}-{uuid.uuid4().hex}"
 
 
