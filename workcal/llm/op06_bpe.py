@@ -20,8 +20,10 @@ Null texts count as empty and have no tokens. Repeated rows give repeated result
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +36,9 @@ from .texts import SPACES, batch_of, map_batches, table, texts_of
 
 #: A cut comes where this many bits of the rolling hash are zero: every 512 bytes on average.
 CUT_BITS = 9
-#: Bytes of chunks, and number of words, that a worker remembers per half of its store.
+#: Bytes of chunks in each half of a worker's store, and number of words that it remembers.
 STORE_BYTES = 16_000_000
-STORE_WORDS = 250_000
+STORE_WORDS = 400_000
 
 _GEAR = np.random.default_rng(2024).integers(0, 2**32, size=256, dtype=np.uint32)
 _IS_SPACE = np.zeros(256, dtype=bool)
@@ -103,10 +105,11 @@ class Generations(dict):
 
 class ChunkEncoder:
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words = Generations(STORE_WORDS)
+        self.words: dict[bytes, tuple[int, ...]] = {}
         self.chunks = Generations(STORE_BYTES)
         self.reused = self.encoded = 0
 
@@ -126,26 +129,26 @@ class ChunkEncoder:
                     wanted[piece] = []
                 plan.append(piece if known is None else known)
             plans.append(plan)
-        keys = list(wanted)
-        words = [k.split() for k in keys]
-        new = {w for ws in words for w in ws if self.words.recall(w) is None}
-        fresh = self._fresh(list(new))
-        recall = self.words.recall
-        for key, ws in zip(keys, words):
-            ids = wanted[key]
-            for w in ws:
-                found = fresh.get(w)
-                ids.extend(found if found is not None else recall(w) or self._fresh([w])[w])
-            if len(key) >= 64:
-                self.chunks.remember(key, ids, len(key) + 40)
-        for w, ids in fresh.items():
-            self.words.remember(w, ids)
-        return [[i for part in plan for i in (wanted[part] if isinstance(part, bytes) else part)] for plan in plans]
-
-    def _fresh(self, words: list[bytes]) -> dict[bytes, tuple[int, ...]]:
-        texts = [w.decode("utf-8", "surrogatepass") for w in words]
+        split = {piece: piece.split() for piece in wanted}
+        self._learn(set().union(*split.values()))
+        for piece, words in split.items():
+            wanted[piece].extend(chain.from_iterable(map(self.words.__getitem__, words)))
+            if len(piece) >= 64:
+                self.chunks.remember(piece, wanted[piece], len(piece) + 40)
+        return [
+            list(chain.from_iterable(wanted[part] if isinstance(part, bytes) else part for part in plan))
+            for plan in plans
+        ]
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Adds the ids of the words that are not known; starts anew when there are too many."""
+        new = words - self.words.keys()
+        if len(self.words) + len(new) > STORE_WORDS:
+            self.words.clear()
+            new = words
+        texts = [w.decode("utf-8", "surrogatepass") for w in new]
         encodings = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return {w: tuple(e.ids) for w, e in zip(words, encodings)}
+        self.words.update(zip(new, (tuple(e.ids) for e in encodings)))
 
     def decode_all(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
