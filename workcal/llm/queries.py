@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
-from . import op01_quality_fm, op04_secret_scan, op06_bpe, op07_license_scan, op08_warc, op09_lm_score, op10_quality_rules
+from . import (
+    op01_quality_fm,
+    op03_decontaminate,
+    op04_secret_scan,
+    op05_main_text,
+    op06_bpe,
+    op07_license_scan,
+    op08_warc,
+    op09_lm_score,
+    op10_quality_rules,
+)
 
 _MODULES = [
-    op01_quality_fm, op04_secret_scan, op06_bpe, op07_license_scan, op08_warc, op09_lm_score, op10_quality_rules,
-]
+    op01_quality_fm,
+    op03_decontaminate,
+    op04_secret_scan,
+    op05_main_text,
+    op06_bpe,
+    op07_license_scan,
+    op08_warc,
+    op09_lm_score,
+    op10_quality_rules,
+]
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 SQL = {name: sql for module in _MODULES for name, sql in module.SQL.items()}
