@@ -195,6 +195,24 @@ def scan_secrets(docs: DataFrame, model: MarkovPair, threshold: float = THRESHOL
     return map_batches(docs, ["doc_id", "text"], task, _SCHEMA)
 
 
+def mask_secrets(docs: DataFrame, model: MarkovPair, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with all secrets in ``text`` masked; other columns, and null texts, as they were."""
+
+    def clean(text: str | None) -> str | None:
+        if text is None:
+            return None
+        known = base_spans(text)
+        return mask(text, [*known, *model_spans(text, model, known, threshold)])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            texts = pa.array([clean(t) for t in batch.column(at).to_pylist()], pa.string())
+            yield batch.set_column(at, "text", texts)
+
+    return map_batches(docs, [f"`{c}`" for c in docs.columns], task, docs.schema)
+
+
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> MarkovPair:
     """The models from generated samples and from a bounded sample of documents."""
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)

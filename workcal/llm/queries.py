@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (
     op01_quality_fm,
+    op02_ngram_join,
     op03_decontaminate,
     op04_secret_scan,
     op05_main_text,
@@ -16,6 +17,7 @@ from . import (
 
 _MODULES = [
     op01_quality_fm,
+    op02_ngram_join,
     op03_decontaminate,
     op04_secret_scan,
     op05_main_text,

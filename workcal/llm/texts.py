@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # ASCII white space ends a word; only A-Z are lower-cased.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -26,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def map_batches(
     df: DataFrame, columns: Iterable[str], task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str,
+    schema: str | StructType,
 ) -> DataFrame:
     """``task`` over the Arrow batches of the named columns; other columns are not read.
 
