@@ -246,10 +246,10 @@ def labelled_pages(
                 if r.random() < 0.08:
                     leaf = r.choice([("blockquote", "p"), ("ul", "li"), ("h2",), ("pre",), ("table", "tr", "td"), ("h3",)])
                 made.append((Block(b.text, (*outer, *tags, *leaf), frozenset(names), b.linked), True))
-                if k and r.random() < 0.04:
+                if k and r.random() < 0.12:
                     made += [(x, False) for x in other(True)]
             for _ in range(r.randint(1, 3)):
-                made += [(b, False) for b in other(r.random() < 0.3)]
+                made += [(b, False) for b in other(r.random() < 0.5)]
             yield [b for b, _ in made], [good for _, good in made]
         pool = (pool + [b.text for b in article])[-400:]
 

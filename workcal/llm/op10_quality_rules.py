@@ -107,9 +107,10 @@ def measure(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
         ),
         lambda seen: seen["words"],
     )
-    return places.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).select(
-        *keep, *MEASURES
-    )
+    measured = places.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
+    # Unfolded from one struct: a filter on a measurement is not pushed below this, where
+    # each measurement would be computed once per use.
+    return measured.select(*keep, F.inline(F.array(F.struct(*MEASURES))))
 
 
 def ledger(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
