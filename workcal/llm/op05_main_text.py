@@ -58,6 +58,7 @@ class Block(NamedTuple):
     tags: tuple[str, ...]  # ancestors, outermost first
     names: frozenset[str]  # words of their class, id and role
     linked: float  # share of the text in links
+    inner: frozenset[str] = frozenset()  # those of the innermost ancestor that has any
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -73,7 +74,8 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 tags = tuple(t for t, _ in stack if t not in _INLINE)
                 names = frozenset().union(*(n for _, n in stack))
-                found.append(Block(text, tags, names, min(1.0, linked / max(1, len(text)))))
+                inner = next((n for _, n in reversed(stack) if n), frozenset())
+                found.append(Block(text, tags, names, min(1.0, linked / max(1, len(text))), inner))
             parts.clear()
         linked = 0
 
@@ -150,12 +152,13 @@ def features(blocks: Sequence[Block]) -> list[list[str]]:
     shared: dict[tuple, list[str]] = {}
     made = []
     for k, b in enumerate(blocks):
-        path = shared.get((b.tags, b.names))
+        path = shared.get((b.tags, b.names, b.inner))
         if path is None:
             path = [f"in:{t}" for t in set(b.tags)] + [f"name:{n}" for n in b.names]
+            path += [f"inner:{n}" for n in b.inner]
             path.append(f"leaf:{b.tags[-1] if b.tags else ''}")
             path += [f"under:{a}>{c}" for a, c in zip(b.tags[-3:], b.tags[-2:])]
-            shared[(b.tags, b.names)] = path
+            shared[(b.tags, b.names, b.inner)] = path
         text = b.text
         made.append([
             *path,
@@ -229,13 +232,16 @@ def labelled_pages(
             def other(inside: bool) -> list[Block]:
                 add, add_names, long = r.choice(_OTHERS)
                 path = (*outer, *tags, *add) if inside else (*outer, *add)
+                if long and path[-1] != "p" and r.random() < 0.7:
+                    path = (*path, "p")
                 held = frozenset(add_names) | (frozenset(names) if inside else frozenset())
                 made = []
                 for _ in range(r.randint(1, 4)):
                     text = r.choice(pool) if pool else "more"
                     if not long or r.random() < 0.3:
                         text = " ".join(text.split()[: r.randint(1, 6)])
-                    made.append(Block(text or "more", path, held, r.choice([0.0, 0.0, 1.0])))
+                    inner = frozenset(add_names) or (frozenset(names) if inside else frozenset())
+                    made.append(Block(text or "more", path, held, r.choice([0.0, 0.0, 1.0]), inner))
                 return made
 
             made: list[tuple[Block, bool]] = []
@@ -245,7 +251,7 @@ def labelled_pages(
                 leaf = b.tags[-1:] if b.tags[-1:] not in (("article",), ("main",)) else ("p",)
                 if r.random() < 0.08:
                     leaf = r.choice([("blockquote", "p"), ("ul", "li"), ("h2",), ("pre",), ("table", "tr", "td"), ("h3",)])
-                made.append((Block(b.text, (*outer, *tags, *leaf), frozenset(names), b.linked), True))
+                made.append((Block(b.text, (*outer, *tags, *leaf), frozenset(names), b.linked, frozenset(names)), True))
                 if k and r.random() < 0.12:
                     made += [(x, False) for x in other(True)]
             for _ in range(r.randint(1, 3)):
