@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from workcal.operators.upsert import clear_partitions, upsert, upsert_table
 from workcal.schemas import columns
 from workcal.sources import from_rows, read_table
@@ -165,6 +166,52 @@ def test_untouched_partitions_keep_their_files(spark, tmp_path):
     assert {f for f in _files(path) if "mes=1" in f} == before
 
 
+@pytest.mark.parametrize("follow", [True, False])
+def test_a_load_of_new_keys_rewrites_nothing(spark, tmp_path, follow):
+    path = tmp_path / "t"
+    _put(spark, str(path), [(1, "a", 2024, 1), (2, "b", None, 2)])
+    before = _files(path)
+    _put(spark, str(path), [(3, "c", 2024, 1), (4, "d", None, 2)], partitions_follow_keys=follow)
+    assert _files(path) > before
+    assert _stored(spark, str(path)) == _sorted(
+        [(1, "a", 2024, 1), (2, "b", None, 2), (3, "c", 2024, 1), (4, "d", None, 2)]
+    )
+
+
+@pytest.mark.parametrize("name", ["target.v", "TARGET.V", "`target`.v"])
+def test_condition_may_name_the_target_in_any_spelling(spark, tmp_path, name):
+    path = f"{tmp_path}/t"
+    _put(spark, path, [(1, "b", 2024, 1), (2, "b", 2024, 1)])
+    _put(spark, path, [(1, "a", 2024, 2), (2, "c", 2024, 2)], update_if=f"{name} < source.v")
+    assert _stored(spark, path) == [(1, "b", 2024, 1), (2, "c", 2024, 2)]
+
+
+def test_partition_left_by_its_row_and_not_filled_by_the_load(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    _put(spark, path, [(1, "a", 2024, 1), (2, "b", 2024, 3)])
+    # Row 1 leaves month 1; row 2 would go there, but is not updated.
+    _put(spark, path, [(1, "A", 2024, 2), (2, "x", 2024, 1)], update_if="source.v = 'A'")
+    assert _stored(spark, path) == [(1, "A", 2024, 2), (2, "b", 2024, 3)]
+
+
+def test_timestamp_key_in_a_repeated_hour(spark, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        schema = columns("t timestamp, v string, ano int")
+        path = f"{tmp_path}/t"
+        for value in "ab":
+            load = spark.range(1).select(
+                F.timestamp_seconds(F.lit(1730615400)).alias("t"),  # 2024-11-03 06:30 UTC
+                F.lit(value).alias("v"),
+                F.lit(2024).alias("ano"),
+            )
+            upsert_table(load, path, schema, ["t"], ["ano"], partitions_follow_keys=True)
+        assert [r.v for r in read_table(spark, path, schema).collect()] == ["b"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_moved_row_leaves_its_partition(spark, tmp_path):
     path = f"{tmp_path}/t"
     _put(spark, path, [(1, "a", 2024, 1), (2, "b", 2024, 1), (3, "c", 2024, 2)])

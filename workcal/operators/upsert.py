@@ -53,13 +53,15 @@ def one_row_per_key(
 ) -> DataFrame:
     """``source`` with single keys: repeated ones fail, or the first in the order
     ``keep_first`` is taken. Rows without a complete key all stay."""
-    complete = _complete(keys)
-    keyed = source.filter(complete)
+    # A row without a complete key is told from all others by a number of its own, so
+    # one window serves both kinds and the source is evaluated once.
+    own = F.when(~_complete(keys), F.monotonically_increasing_id())
+    numbered = source.withColumn("_own", own)
     if keep_first is None:
-        keyed = single_source_rows(keyed, keys)
+        single = single_source_rows(numbered, [*keys, "_own"])
     else:
-        keyed = first_per_key(keyed, keys, keep_first)
-    return keyed.unionByName(source.filter(~complete))
+        single = first_per_key(numbered, [*keys, "_own"], keep_first)
+    return single.drop("_own")
 
 
 def upsert(
@@ -160,12 +162,20 @@ def _in_partitions(parts: Sequence[Row], by: Sequence[str]) -> Column:
 
 def _key_range(staged: DataFrame, keys: Sequence[str]) -> Column:
     """Bounds of the load's keys, which Parquet statistics can prune by."""
+    # A timestamp passes the driver as microseconds: as a local time, one in a repeated
+    # hour would come back as another moment.
+    stamps = {k for k in keys if isinstance(staged.schema[k].dataType, T.TimestampType)}
+    value = {k: F.unix_micros(k) if k in stamps else F.col(k) for k in keys}
+    literal = {k: (lambda v: F.timestamp_micros(F.lit(v).cast("long"))) if k in stamps else F.lit for k in keys}
     bounds = staged.agg(
-        *(f(k).alias(f"{n}{i}") for i, k in enumerate(keys) for n, f in (("lo", F.min), ("hi", F.max)))
+        *(f(value[k]).alias(f"{n}{i}") for i, k in enumerate(keys) for n, f in (("lo", F.min), ("hi", F.max)))
     ).first()
     return reduce(
         Column.__and__,
-        (F.col(k).between(F.lit(bounds[f"lo{i}"]), F.lit(bounds[f"hi{i}"])) for i, k in enumerate(keys)),
+        (
+            F.col(k).between(literal[k](bounds[f"lo{i}"]), literal[k](bounds[f"hi{i}"]))
+            for i, k in enumerate(keys)
+        ),
     )
 
 
@@ -174,9 +184,9 @@ def clear_partitions(
 ) -> None:
     """Remove the folders of the given partitions."""
     held = spark.read.schema(schema).parquet(path).filter(_in_partitions(parts, by))
-    files = held.select(F.col("_metadata.file_path").alias("file")).distinct().collect()
-    for folder in sorted({unquote(row.file).rsplit("/", 1)[0] for row in files}):
-        remove_folder(spark, folder)
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    for row in held.select(folder.alias("folder")).distinct().collect():
+        remove_folder(spark, unquote(row.folder))
 
 
 def upsert_table(
@@ -198,13 +208,15 @@ def upsert_table(
 
     A missing table is created from the rows that qualify for insertion. For an
     existing one the load, with its keys made single, is written to the scratch
-    folder once (``single_keys`` says it is such a table already), the partitions it
-    touches are found, and only those are read and replaced. ``partitions_follow_keys`` says that equal keys always lie
-    in one partition; otherwise the key columns of the table are searched for
-    rows that lie elsewhere, and a partition left without rows is cleared.
-
-    The list of touched partitions is the only thing that passes through the
-    driver. One writer at a time: nothing guards against a second one.
+    folder once (``single_keys`` says it is such a table already), and its keys are
+    searched in the table. Only the partitions that hold a match, or to which a matching
+    row belongs in the load, are read and replaced; the load's other rows are appended,
+    so a load of new keys rewrites nothing. ``partitions_follow_keys`` says that equal
+    keys always lie in one partition, so that only the load's partitions are searched;
+    otherwise rows may move, and a partition left without rows is cleared.
+
+    Only lists of partitions, one row each, pass through the driver, so partition by
+    columns of few values. One writer at a time: nothing guards against a second one.
     """
     spark = source.sparkSession
     by = list(partition_by)
@@ -224,51 +236,63 @@ def upsert_table(
 
     load = source if single_keys else stage(source, "load")
     target = read_table(spark, path, schema)
-    touched = set(load.select(*by).distinct().collect())
-    emptied: list[Row] = []
-    if touched and not partitions_follow_keys:
-        moves = _matched_partitions(target, load, keys, by, update_if)
-        incoming = set(touched)
-        touched |= {Row(**dict(zip(by, m[: len(by)]))) for m in moves}
-        if update_cols is None or set(by) & set(update_cols):
-            emptied = _emptied_partitions(target, moves, incoming, by)
-    if not touched:
+    incoming = set(load.select(*by).distinct().collect())
+    if not incoming:
         return
-
-    result = upsert(target.filter(_in_partitions(sorted(touched, key=str), by)), load, keys, **options)
-    overwrite_partitions(result, path, by)
+    searched = target.filter(_in_partitions(sorted(incoming, key=str), by)) if partitions_follow_keys else target
+    moves = _matched_partitions(searched, load, keys, by, update_if)
+    rewritten = {Row(**dict(zip(by, m[i : i + len(by)]))) for m in moves for i in (0, len(by))}
+    emptied: set[Row] = set()
+    among = F.coalesce(_in_partitions(sorted(rewritten, key=str), by), F.lit(False))
+    if rewritten:
+        held = target.filter(_in_partitions(sorted(rewritten, key=str), by))
+        result = upsert(held, load.filter(among), keys, **options)
+        if not partitions_follow_keys and (update_cols is None or set(by) & set(update_cols)):
+            emptied = _left_partitions(target, moves, by)
+            # Only a partition of the load can be filled again.
+            again = sorted(emptied & incoming, key=str)
+            if again:
+                refilled = result.filter(_in_partitions(again, by)).select(*by).distinct().collect()
+                emptied -= set(refilled)
+        overwrite_partitions(result, path, by)
+    if incoming - rewritten:
+        empty = from_rows(spark, [], schema)
+        write_partitioned(upsert(empty, load.filter(~among), keys, **options), path, by)
     if emptied:
-        clear_partitions(spark, path, schema, by, emptied)
+        clear_partitions(spark, path, schema, by, sorted(emptied, key=str))
 
 
 def _matched_partitions(
     target: DataFrame, load: DataFrame, keys: Sequence[str], by: Sequence[str], update_if: Condition
 ) -> list[Row]:
-    """``(old partition.., n)`` of the target rows the load has, ``n`` of them updated."""
-    plain = update_if is None or "target." not in str(update_if)
-    wanted = target.select(*dict.fromkeys([*keys, *by])) if plain else target
+    """``(old partition.., partition in the load.., n)`` of the target rows the load has,
+    ``n`` of them updated."""
+    # A condition may name any column, in any spelling; Spark reads those it needs.
+    wanted = target.select(*dict.fromkeys([*keys, *by])) if update_if is None else target
     found = wanted.filter(_key_range(load, keys)).alias("target")
     same_key = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
     return (
         found.join(load.alias("source"), same_key)
-        .select(*(F.col(f"target.{c}") for c in by), _condition(update_if).alias("_moves"))
-        .groupBy(*by)
+        .select(
+            *(F.col(f"target.{c}").alias(f"_old_{c}") for c in by),
+            *(F.col(f"source.{c}").alias(f"_new_{c}") for c in by),
+            _condition(update_if).alias("_moves"),
+        )
+        .groupBy(*(f"_old_{c}" for c in by), *(f"_new_{c}" for c in by))
         .agg(F.count_if("_moves").alias("_moved"))
         .collect()
     )
 
 
-def _emptied_partitions(
-    target: DataFrame, moves: Sequence[Row], incoming: set[Row], by: Sequence[str]
-) -> list[Row]:
-    """Old partitions that lose every row and get none."""
-    moved = {tuple(m)[:-1]: m[-1] for m in moves if tuple(m)[:-1] not in {tuple(p) for p in incoming}}
+def _left_partitions(target: DataFrame, moves: Sequence[Row], by: Sequence[str]) -> set[Row]:
+    """Partitions that all their rows leave for another one."""
+    moved: dict[tuple, int] = defaultdict(int)
+    for m in moves:
+        old, new = tuple(m)[: len(by)], tuple(m)[len(by) : -1]
+        if old != new and m[-1]:
+            moved[old] += m[-1]
     if not moved:
-        return []
-    held = (
-        target.filter(_in_partitions([Row(**dict(zip(by, p))) for p in moved], by))
-        .groupBy(*by)
-        .count()
-        .collect()
-    )
-    return [Row(**dict(zip(by, tuple(h)[:-1]))) for h in held if moved[tuple(h)[:-1]] == h[-1]]
+        return set()
+    parts = [Row(**dict(zip(by, p))) for p in moved]
+    held = target.filter(_in_partitions(parts, by)).groupBy(*by).count().collect()
+    return {Row(**dict(zip(by, tuple(h)[:-1]))) for h in held if moved[tuple(h)[:-1]] == h[-1]}
