@@ -40,8 +40,8 @@ def monthly(spark: SparkSession, region: str | None = None) -> DataFrame:
     states = inputs.states(spark, SF_DIR)
     if region is not None:
         states = states.filter(F.col("regiao") == region)
-    holidays = inputs.calendar(spark, SF_DIR)
-    days = region_days(holidays, states, inputs.FIRST_YEAR, inputs.LAST_YEAR)
+    span = inputs.years(spark, SF_DIR)
+    days = region_days(inputs.calendar(spark, SF_DIR, span), states, *span)
     return monthly_workdays(days, ["regiao"])
 
 

@@ -24,8 +24,8 @@ def _text(tmp_path, *lines):
 
 
 def test_rows(spark):
-    df = from_rows(spark, [("test", 1), ("test2", 2)], columns("col1 string, col2 bigint"))
-    assert df.count() == 2 and df.dtypes == [("col1", "string"), ("col2", "bigint")]
+    df = from_rows(spark, [("maré", 7), ("vento", -3)], columns("sinal string, grau bigint"))
+    assert df.count() == 2 and df.dtypes == [("sinal", "string"), ("grau", "bigint")]
     empty = from_rows(spark, [], columns("a int, d date, t timestamp"))
     assert empty.isEmpty() and empty.columns == ["a", "d", "t"]
     moment = dt.datetime(2024, 1, 2, 3, 4, 5)
@@ -34,12 +34,12 @@ def test_rows(spark):
 
 
 def test_csv(spark, tmp_path):
-    schema = columns("Name string, Age bigint")
-    rows = [("Alice", 34), ("Bob", 45), ("Cathy", 29)]
-    write_csv(from_rows(spark, rows, schema), f"{tmp_path}/people")
-    assert sorted(map(tuple, read_csv(spark, f"{tmp_path}/people", schema).collect())) == rows
-    as_text = read_csv(spark, f"{tmp_path}/people")
-    assert as_text.dtypes == [("Name", "string"), ("Age", "string")]
+    schema = columns("porto string, navios bigint")
+    rows = [("Belém", 12), ("Ilhéus", 0), ("Santos", 310)]
+    write_csv(from_rows(spark, rows, schema), f"{tmp_path}/ports")
+    assert sorted(map(tuple, read_csv(spark, f"{tmp_path}/ports", schema).collect())) == rows
+    as_text = read_csv(spark, f"{tmp_path}/ports")
+    assert as_text.dtypes == [("porto", "string"), ("navios", "string")]
 
 
 def test_broken_json_line(spark, tmp_path):

@@ -137,6 +137,19 @@ def test_unreadable_lines_go_to_quarantine(lake, spark, tmp_path):
     assert [(r._corrupt_record, r.status_processamento) for r in bad] == [("{broken", "INVALID")]
 
 
+def test_repeated_load_adds_nothing_to_quarantine(lake, spark, tmp_path):
+    file = _file(tmp_path, _GOOD % (1, "sp"), "{broken")
+    for _ in range(3):
+        assert lake.bronze(file, T1).first().status == "PROCESSED"
+    assert read_table(spark, lake.path("quarantine"), QUARANTINE).count() == 1
+    assert read_table(spark, lake.path("bronze"), BRONZE).count() == 1
+
+
+def test_unknown_file_system_is_reported(lake):
+    row = lake.bronze("nosuchfs://host/in.json", T1).first()
+    assert row.status == "ERROR" and row.records_processed == 0
+
+
 def test_file_without_a_required_column(lake, tmp_path):
     row = lake.bronze(_file(tmp_path, '{"data":"2024-01-01","nome":"n"}'), T1).first()
     assert row.status == "INVALID" and row.records_processed == 1

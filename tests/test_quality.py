@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from workcal.functions.dates import load_stamp, parse_date
 from workcal.operators.cleaning import clean, conform, first_per_key, latest_load, one_per_holiday
 from workcal.operators.quality import (
     HOLIDAY_RULES,
@@ -146,3 +147,19 @@ def test_silver_has_its_columns_and_marks_bad_rows(spark):
     assert len(rows) == 6
     assert sum(r.status_processamento == "ERRO" for r in rows) == 4
     assert {r.silver_timestamp for r in rows} == {r.last_updated for r in rows} == {TS}
+
+
+def test_only_whole_dates_are_dates(spark):
+    texts = ["2024-7-9", "2024-07-09", "2024", "2024-05", "2024-07-09 xyz", "2024-07-09Tgarbage", "2024-02-30", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_date(F.col("t")).cast("string"))
+    assert [r[0] for r in rows.collect()] == ["2024-07-09", "2024-07-09", *[None] * 6]
+
+
+def test_load_time_without_a_zone_is_utc_in_any_session(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stamp = spark.range(1).select(F.unix_seconds(load_stamp(dt.datetime(2024, 4, 1, 6)))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert stamp == 1711951200

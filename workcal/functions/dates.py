@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,9 +19,19 @@ def is_weekend(date: Column) -> Column:
     return F.dayofweek(date).isin(SUNDAY, SATURDAY)
 
 
+def load_stamp(moment: dt.datetime) -> Column:
+    """A load's time as a timestamp; without a zone it is taken as UTC, in every layer
+    and whatever the zones of session and process."""
+    if moment.tzinfo is None:
+        moment = moment.replace(tzinfo=dt.timezone.utc)
+    since = moment - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+    return F.timestamp_micros(F.lit(since // dt.timedelta(microseconds=1)).cast("long"))
+
+
 def parse_date(text: Column) -> Column:
     """Date of ``yyyy-[M]M-[d]d`` text, NULL when it is none."""
-    return F.try_to_date(text)
+    # Spark alone would also take a year, a month, or a date with more text behind it.
+    return F.when(text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"), F.try_to_date(text))
 
 
 def parse_padded_date(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.dates import parse_date
+from ..functions.dates import load_stamp, parse_date
 from ..functions.text import dashed, squeeze
 from ..schemas import SOURCE_NAME
 
@@ -34,7 +34,7 @@ def conform(df: DataFrame, load_ts: dt.datetime) -> DataFrame:
     The text of the date stays in ``data_raw``, for rules that must tell a
     missing date from an unreadable one.
     """
-    stamp = F.lit(load_ts).cast("timestamp")
+    stamp = load_stamp(load_ts)
     return (
         df.withColumn("data_raw", F.col("data"))
         .withColumn("data", parse_date(F.col("data")))

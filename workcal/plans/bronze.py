@@ -6,11 +6,13 @@ import datetime as dt
 import time
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.dates import load_stamp
 from ..operators.upsert import upsert_table
 from ..schemas import (
     BRONZE,
@@ -26,7 +28,7 @@ from ..schemas import (
 )
 from ..scratch import scratch_dir
 from ..sinks import write_partitioned
-from ..sources import missing_json_columns, read_json_lines, read_table
+from ..sources import missing_json_columns, read_json_lines, read_table, table_exists
 from .metrics import BRONZE_METRICS, one_row
 
 BRONZE_PARTITIONS = ("ano_particao", "mes_particao")
@@ -46,7 +48,7 @@ def bronze_rows(
         .withColumns(
             {
                 "source_file": F.col("_metadata.file_path"),
-                "bronze_ingestion_tsp": F.lit(load_ts).cast("timestamp"),
+                "bronze_ingestion_tsp": load_stamp(load_ts),
                 "status_processamento": F.when(corrupt.isNull(), VALID).otherwise(INVALID),
                 "ano_particao": F.lit(partition_date.year),
                 "mes_particao": F.lit(partition_date.month),
@@ -69,9 +71,10 @@ def to_bronze(
     """Load one landed file; returns its metrics.
 
     The file is parsed once, into a staged table. Valid records are upserted,
-    unreadable lines are added to the quarantine table. A file that cannot be
-    read gives status ERROR, one that lacks a required column INVALID; neither
-    writes anything.
+    unreadable lines are added to the quarantine table before, once per file and text,
+    so that a repeated load adds nothing. A file that lacks a required column gives
+    status INVALID and writes nothing. Any failure gives status ERROR; a load that fails
+    while it is stored can be repeated.
     """
     started = time.perf_counter()
 
@@ -104,6 +107,13 @@ def to_bronze(
         )
         counts = seen.get
         staged = read_table(spark, staged_path, QUARANTINE)
+        if counts["invalid_records"]:
+            unreadable = staged.filter(~valid)
+            if table_exists(spark, quarantine_path):
+                known = read_table(spark, quarantine_path, QUARANTINE)
+                unreadable = unreadable.join(known, ["source_file", CORRUPT], "left_anti")
+                unreadable = unreadable.select(*QUARANTINE.names)
+            write_partitioned(unreadable, quarantine_path, BRONZE_PARTITIONS)
         upsert_table(
             staged.filter(valid).drop(CORRUPT),
             bronze_path,
@@ -113,8 +123,6 @@ def to_bronze(
             partitions_follow_keys=False,
             keep_first=keep_first,
         )
-        if counts["invalid_records"]:
-            write_partitioned(staged.filter(~valid), quarantine_path, BRONZE_PARTITIONS)
-    except PySparkException as error:
+    except (PySparkException, Py4JError) as error:
         return result(FILE_ERROR, records_processed=0, error_message=f"Falha ao carregar o arquivo: {error}")
     return result(FILE_PROCESSED, **counts, ano=partition_date.year, mes=partition_date.month)

@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.dates import load_stamp
 from ..operators.cleaning import latest_load
 from ..operators.upsert import upsert_table
 from ..operators.workdays import (
@@ -40,20 +41,29 @@ def gold_rows(days: DataFrame, load_ts: dt.datetime) -> DataFrame:
         monthly_workdays(days, ["regiao"])
         .withColumn("_in_year", F.sum("total_feriados").over(year))
         .filter("_in_year > 0")
-        .withColumn("dt_processamento", F.lit(load_ts).cast("timestamp"))
+        .withColumn("dt_processamento", load_stamp(load_ts))
         .select(*GOLD.names)
     )
 
 
+def _in_years(year: int, last_year: int | None) -> Column:
+    return F.col("ano") == year if last_year is None else F.col("ano").between(year, last_year)
+
+
 def silver_year(
-    spark: SparkSession, silver_path: str, year: int, *, require_status: bool = False
+    spark: SparkSession,
+    silver_path: str,
+    year: int,
+    last_year: int | None = None,
+    *,
+    require_status: bool = False,
 ) -> DataFrame:
-    """The newest state of each holiday of ``year``.
+    """The newest state of each holiday of ``year``, or of the years to ``last_year``.
 
     The filter is on the partition column, so other years are not read. Rows that
     break a rule count too, unless ``require_status``.
     """
-    silver = read_table(spark, silver_path, SILVER).filter(F.col("ano") == year)
+    silver = read_table(spark, silver_path, SILVER).filter(_in_years(year, last_year))
     newest = latest_load(silver)
     return newest.filter(F.col("status_processamento") == SUCCESS) if require_status else newest
 
@@ -66,18 +76,20 @@ def to_gold(
     year: int,
     load_ts: dt.datetime,
     *,
+    last_year: int | None = None,
     require_status: bool = False,
     views: bool = False,
 ) -> DataFrame:
-    """Refresh the year's monthly rows; returns one metrics row per region.
+    """Refresh the monthly rows of the year, or of all years to ``last_year`` in one job;
+    returns one metrics row per region and year.
 
     A region without valid holidays gets status ERRO and no rows; the others are
     written all the same. ``views`` also creates the session view of each region.
     """
     if read_table(spark, silver_path, SILVER).isEmpty():
         raise ValueError("Nenhum registro em silver")
-    holidays = silver_year(spark, silver_path, year, require_status=require_status)
-    days = region_days(holidays, states, year, year)
+    holidays = silver_year(spark, silver_path, year, last_year, require_status=require_status)
+    days = region_days(holidays, states, year, last_year or year)
     upsert_table(
         gold_rows(days, load_ts),
         gold_path,
@@ -89,11 +101,15 @@ def to_gold(
     # The metrics come from the rows just written, not from a second run of the plan.
     gold = read_table(spark, gold_path, GOLD)
     written = gold.filter(
-        (F.col("ano") == year) & (F.col("dt_processamento") == F.lit(load_ts).cast("timestamp"))
+        _in_years(year, last_year) & (F.col("dt_processamento") == load_stamp(load_ts))
     )
-    regions = states.select("regiao").distinct().withColumn("ano", F.lit(year))
+    regions = states.select("regiao").distinct()
+    years = range(year, (last_year or year) + 1)
     if views:
-        create_views(gold, [row.regiao for row in regions.collect()], year)
+        names = [row.regiao for row in regions.collect()]
+        for each in years:
+            create_views(gold, names, each)
+    regions = regions.withColumn("ano", F.explode(F.sequence(F.lit(years[0]), F.lit(years[-1]))))
     return region_totals(written, groups=regions)
 
 

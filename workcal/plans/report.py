@@ -26,6 +26,7 @@ def _lines(metrics: DataFrame, layer: str, item: Column, **columns: str) -> Data
     return metrics.select(
         F.lit(layer).alias("camada"),
         item.alias("item"),
+        F.col(columns["ano"]).cast("int").alias("ano") if "ano" in columns else F.lit(None).cast("int").alias("ano"),
         F.col(columns["status"]).alias("status"),
         *(c.alias(n) for n, c in zip(_COUNTS, counts)),
     )
@@ -34,7 +35,7 @@ def _lines(metrics: DataFrame, layer: str, item: Column, **columns: str) -> Data
 def run_report(
     landing: DataFrame, bronze: DataFrame, silver: DataFrame, gold: DataFrame
 ) -> DataFrame:
-    """One line per layer and per region, from the metrics the layers returned."""
+    """One line per layer, and per region and year, from the metrics the layers returned."""
     whole = F.lit("total")
 
     def same(*names: str) -> dict[str, str]:
@@ -67,7 +68,7 @@ def run_report(
             "gold",
             F.col("regiao"),
             status="processing_status",
-            **same("total_holidays", "working_days"),
+            **same("ano", "total_holidays", "working_days"),
         ),
     ]
     return reduce(DataFrame.unionByName, lines)

@@ -6,6 +6,7 @@ import datetime as dt
 import time
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -100,7 +101,7 @@ def to_silver(
             update_cols=SILVER_UPDATES,
             single_keys=True,
         )
-    except PySparkException as error:
+    except (PySparkException, Py4JError) as error:
         return result(ERROR, error_message=f"Falha ao processar silver: {error}")
     if not counts["error_records"]:
         status = SUCCESS

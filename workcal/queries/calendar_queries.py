@@ -23,7 +23,7 @@ from ..operators.workdays import (
 )
 from ..plans.gold import create_views, view_name
 from ..scratch import stage
-from ..sources import date_spine, group_spine
+from ..sources import group_spine
 from . import inputs as i
 from .registry import query
 
@@ -94,8 +94,9 @@ def state_holiday_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _joined(spark: SparkSession, sf: str) -> DataFrame:
-    regional = holidays_by_region(i.calendar(spark, sf), i.states(spark, sf))
-    return calendar_join(i.region_spine(spark, sf), regional, ["regiao"])
+    span = i.years(spark, sf)
+    regional = holidays_by_region(i.calendar(spark, sf, span), i.states(spark, sf))
+    return calendar_join(i.region_spine(spark, sf, span), regional, ["regiao"])
 
 
 @query(
@@ -134,9 +135,9 @@ def monthly_workdays_by_region(spark: SparkSession, sf: str) -> DataFrame:
     )
 )
 def monthly_workdays_by_state(spark: SparkSession, sf: str) -> DataFrame:
-    states = i.states(spark, sf)
-    spine = group_spine(states.select(F.col("uf").alias("estado")), i.FIRST_DAY, i.LAST_DAY)
-    counts = state_holiday_counts(i.calendar(spark, sf), states)
+    states, span = i.states(spark, sf), i.years(spark, sf)
+    spine = i.spine(states.select(F.col("uf").alias("estado")), span)
+    counts = state_holiday_counts(i.calendar(spark, sf, span), states)
     return monthly_workdays(day_counts(spine, counts, ["estado"]), ["estado"])
 
 
@@ -155,7 +156,7 @@ def region_yearly_totals(spark: SparkSession, sf: str) -> DataFrame:
     i.sql(
         [
             *i.DAY_PARTS[:-2],
-            i.SPINE.replace(str(i.FIRST_DAY), "1994-01-01").replace(str(i.LAST_DAY), "2002-12-31"),
+            i.SPINE.replace("CAST(lo AS", "CAST(lo - 1 AS").replace("CAST(hi AS", "CAST(hi + 1 AS"),
             i.JOINED.replace("ON estado = uf", "ON estado = uf AND estado <> 'ALL'"),
             f"totals AS ({_TOTALS})",
         ],
@@ -170,26 +171,30 @@ FROM totals""",
 def region_status(spark: SparkSession, sf: str) -> DataFrame:
     """State holidays only, one year beyond the calendar at both ends: a region has
     no valid holiday there, which is reported and disturbs no other row."""
-    states = i.states(spark, sf)
-    state_only = i.calendar(spark, sf).filter(F.col("tipo") == "Estadual")
-    first, last = i.FIRST_DAY.replace(year=1994), i.LAST_DAY.replace(year=2002)
-    spine = i.region_spine(spark, sf, first, last)
+    states, span = i.states(spark, sf), i.years(spark, sf)
+    state_only = i.calendar(spark, sf, span).filter(F.col("tipo") == "Estadual")
+    wider = span[0] - 1, span[1] + 1
+    spine = i.region_spine(spark, sf, wider)
     days = day_counts(spine, region_holiday_counts(state_only, states), ["regiao"])
     years = states.select("regiao").distinct().withColumn(
-        "ano", F.explode(F.sequence(F.lit(1994), F.lit(2002)))
+        "ano", F.explode(F.sequence(*map(F.lit, wider)))
     )
     return region_totals(monthly_workdays(days, ["regiao"]), groups=years)
 
 
-@query(MONTHLY_SQL.replace("GROUP BY regiao", "WHERE ano = 1997 GROUP BY regiao"))
+@query(MONTHLY_SQL)
 def workday_views(spark: SparkSession, sf: str) -> DataFrame:
-    """The months of 1997 through the session view of each region, over a stored report."""
-    monthly = stage(monthly_workdays(i.region_days(spark, sf), ["regiao"]), "monthly")
-    # The names in the region table.
-    regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-    create_views(monthly, regions, 1997)
-    views = [spark.sql(f"SELECT * FROM {view_name(r, 1997)} ORDER BY mes") for r in regions]
-    return reduce(DataFrame.unionByName, views)
+    """All months through the session views of each region and year, over a stored report."""
+    first, last = span = i.years(spark, sf)
+    monthly = stage(monthly_workdays(i.region_days(spark, sf, span), ["regiao"]), "monthly")
+    regions = [r.regiao for r in i.states(spark, sf).select("regiao").distinct().collect()]
+    for year in range(first, last + 1):
+        create_views(monthly, regions, year)
+    views = [
+        spark.sql(f"SELECT * FROM {view_name(r, year)} ORDER BY mes")
+        for r in regions for year in range(first, last + 1)
+    ]
+    return reduce(DataFrame.unionByName, views, monthly.limit(0))
 
 
 _DAYS = """days AS (
@@ -220,7 +225,7 @@ def orders_on_workdays(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     i.sql(
-        [*i.DAY_PARTS, _DAYS],
+        [i.span_sql(i.SHIPPED) if part == i.SPAN else part for part in (*i.DAY_PARTS, _DAYS)],
         """SELECT s.regiao, l_returnflag, dia_util, count(*) AS itens,
   CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS quantidade,
   CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS valor
@@ -237,7 +242,7 @@ def shipments_on_workdays(spark: SparkSession, sf: str) -> DataFrame:
     )
     sums = workday_profile(
         shipped,
-        i.region_days(spark, sf),
+        i.region_days(spark, sf, i.years(spark, sf, i.SHIPPED)),
         date="l_shipdate",
         by=["regiao"],
         keep=["l_returnflag"],
@@ -253,10 +258,11 @@ def shipments_on_workdays(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     i.sql(
         [
+            i.span_sql([("events", "ts")]),
             i.EASTER,
             f"""rules(nome, kind, month, day, off, scope, valid_from, valid_to) AS (
   VALUES {", ".join("(" + ", ".join(i.sql_value(v) for v in r) + ")" for r in i.NATIONAL_RULES)})""",
-            i.CALENDAR.replace(str(i.FIRST_YEAR), "2024").replace(str(i.LAST_YEAR), "2024"),
+            i.CALENDAR,
         ],
         """SELECT event_type, CAST(dayofweek(dia) + 1 AS INT) AS dia_semana,
   CASE WHEN dia IN (SELECT data FROM calendar) OR dayofweek(dia) IN (0, 6) THEN 0 ELSE 1 END AS dia_util,
@@ -266,9 +272,9 @@ FROM (SELECT *, CAST(ts AS DATE) AS dia FROM events) GROUP BY event_type, dia_se
 )
 def events_workday_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Events per type and weekday, with the national calendar only."""
-    year = 2024
-    spine = date_spine(spark, i.FIRST_DAY.replace(year=year), i.LAST_DAY.replace(year=year))
-    days = day_counts(spine, holiday_counts(expand_rules(default_rules(spark, states=False), year, year)))
+    span = i.years(spark, sf, [("events", "ts")])
+    holidays = expand_rules(default_rules(spark, states=False), *span)
+    days = day_counts(i.spine(spark.range(1).select(), span), holiday_counts(holidays))
     return workday_profile(
         i.table(spark, sf, "events"),
         days,

@@ -9,6 +9,7 @@ therefore grow with ``orders``.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,6 @@ from ..operators.workdays import day_counts, region_holiday_counts
 from ..schemas import NATIONAL_RULES, RULES
 from ..sources import group_spine
 
-FIRST_YEAR, LAST_YEAR = 1995, 2001
-FIRST_DAY, LAST_DAY = dt.date(FIRST_YEAR, 1, 1), dt.date(LAST_YEAR, 12, 31)
 LOAD_TS = dt.datetime(2024, 3, 1, 6, 0, 0)
 LOAD_DATE = LOAD_TS.date()
 
@@ -47,6 +46,22 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf}/{name}.parquet")
 
 
+# Date columns whose years a calendar must cover: of orders, and of line items too.
+ORDERED = (("orders", "o_orderdate"),)
+SHIPPED = (*ORDERED, ("lineitem", "l_shipdate"))
+
+
+def years(spark: SparkSession, sf: str, dates=ORDERED) -> tuple[int, int]:
+    """First and last year of the date columns; one row passes through the driver.
+    Without any date, no year lies between them."""
+    spans = [
+        table(spark, sf, name).agg(F.year(F.min(c)).alias("lo"), F.year(F.max(c)).alias("hi"))
+        for name, c in dates
+    ]
+    first, last = reduce(DataFrame.unionByName, spans).agg(F.min("lo"), F.max("hi")).first()
+    return (2, 1) if first is None else (first, last)
+
+
 def money(column: str) -> Column:
     """Exact, so that sums do not depend on the order of the rows."""
     return F.col(column).cast("decimal(18,2)")
@@ -108,17 +123,23 @@ def rules(spark: SparkSession, sf: str) -> DataFrame:
     return default_rules(spark, states=False).unionByName(busiest.select(*RULES.names))
 
 
-def calendar(spark: SparkSession, sf: str) -> DataFrame:
-    return merge_same_day(expand_rules(rules(spark, sf), FIRST_YEAR, LAST_YEAR))
+def calendar(spark: SparkSession, sf: str, span: tuple[int, int] | None = None) -> DataFrame:
+    """The holidays of the years ``span``, by default those of the orders."""
+    return merge_same_day(expand_rules(rules(spark, sf), *(span or years(spark, sf))))
+
+
+def spine(groups: DataFrame, span: tuple[int, int]) -> DataFrame:
+    return group_spine(groups, dt.date(span[0], 1, 1), dt.date(span[1], 12, 31))
 
 
-def region_spine(spark: SparkSession, sf: str, first=FIRST_DAY, last=LAST_DAY) -> DataFrame:
-    return group_spine(states(spark, sf).select("regiao").distinct(), first, last)
+def region_spine(spark: SparkSession, sf: str, span: tuple[int, int]) -> DataFrame:
+    return spine(states(spark, sf).select("regiao").distinct(), span)
 
 
-def region_days(spark: SparkSession, sf: str) -> DataFrame:
-    counts = region_holiday_counts(calendar(spark, sf), states(spark, sf))
-    return day_counts(region_spine(spark, sf), counts, ["regiao"])
+def region_days(spark: SparkSession, sf: str, span: tuple[int, int] | None = None) -> DataFrame:
+    span = span or years(spark, sf)
+    counts = region_holiday_counts(calendar(spark, sf, span), states(spark, sf))
+    return day_counts(region_spine(spark, sf, span), counts, ["regiao"])
 
 
 def raw_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,6 +193,15 @@ ORDERS_BY_STATE = """placed AS (
   SELECT *, CAST(o_orderdate AS DATE) AS dia
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN states ON c_nationkey = n_nationkey)"""
 
+
+
+def span_sql(dates=ORDERED) -> str:
+    days = " UNION ALL ".join(f"SELECT {c} AS d FROM {name}" for name, c in dates)
+    return f"span AS (SELECT min(year(d)) AS lo, max(year(d)) AS hi FROM ({days}))"
+
+
+SPAN = span_sql()
+
 EASTER = """easter AS (
   SELECT y, make_date(CAST(y AS INT), CAST(x // 31 AS INT), CAST(x % 31 + 1 AS INT)) AS domingo
   FROM (
@@ -179,7 +209,7 @@ EASTER = """easter AS (
       (b - f + 1) // 3 AS g, (19 * a + b - d - g + 15) % 30 AS h, c // 4 AS i, c % 4 AS k,
       (32 + 2 * e + 2 * i - h - k) % 7 AS l, (a + 11 * h + 22 * l) // 451 AS m,
       h + l - 7 * m + 114 AS x
-    FROM (SELECT unnest(range(1990, 2031)) AS y)))"""
+    FROM (SELECT unnest(range(lo, hi + 1)) AS y FROM span)))"""
 
 
 def sql_value(value) -> str:
@@ -209,21 +239,21 @@ rules(nome, kind, month, day, off, scope, valid_from, valid_to) AS (
   SELECT 'Festa movel ' || uf, 'easter', NULL, NULL, off, uf, valid_from, valid_to
   FROM busy_offset)"""
 
-CALENDAR = f"""expanded AS (
+CALENDAR = """expanded AS (
   SELECT CASE WHEN kind = 'easter' THEN domingo + CAST(off AS INT)
     ELSE try_cast(printf('%04d-%02d-%02d', y, month, day) AS DATE) END AS data,
     nome, CASE WHEN scope = 'ALL' THEN 'Nacional' ELSE 'Estadual' END AS tipo, scope AS estado
-  FROM rules JOIN easter ON y BETWEEN greatest(coalesce(valid_from, {FIRST_YEAR}), {FIRST_YEAR})
-    AND least(coalesce(valid_to, {LAST_YEAR}), {LAST_YEAR})),
+  FROM rules JOIN easter ON y BETWEEN coalesce(valid_from, y) AND coalesce(valid_to, y)),
 calendar AS (
   SELECT data, string_agg(DISTINCT nome, '; ' ORDER BY nome) AS nome, tipo, estado
   FROM expanded WHERE data IS NOT NULL GROUP BY data, tipo, estado)"""
 
-SPINE = f"""spine AS (
+SPINE = """spine AS (
   SELECT regiao, data, CAST(dayofweek(data) + 1 AS INT) AS dia_semana,
     CAST(month(data) AS INT) AS mes, CAST(year(data) AS INT) AS ano
   FROM (SELECT DISTINCT regiao FROM states), (
-    SELECT CAST(unnest(generate_series(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 DAY)) AS DATE) AS data))"""
+    SELECT CAST(unnest(generate_series(make_date(CAST(lo AS INT), 1, 1),
+      make_date(CAST(hi AS INT), 12, 31), INTERVAL 1 DAY)) AS DATE) AS data FROM span))"""
 
 JOINED = """scopes AS (
   SELECT regiao, uf FROM states UNION ALL SELECT DISTINCT regiao, 'ALL' FROM states),
@@ -284,7 +314,7 @@ HOLIDAY_CHECKS = [
     ("data_raw IS NULL OR data IS NOT NULL", "Formato de data inválido"),
 ]
 
-CALENDAR_PARTS = [STATES, ORDERS_BY_STATE, EASTER, RULES_SQL, CALENDAR]
+CALENDAR_PARTS = [STATES, ORDERS_BY_STATE, SPAN, EASTER, RULES_SQL, CALENDAR]
 DAY_PARTS = [*CALENDAR_PARTS, SPINE, JOINED]
 RAW_PARTS = [STATES, ORDERS_BY_STATE, RAW]
 CLEAN_PARTS = [*RAW_PARTS, CLEANED]

@@ -252,19 +252,18 @@ def _monthly(df: DataFrame, day: str) -> DataFrame:
   SELECT regiao, CAST(year(l_shipdate) AS INT) AS ano, CAST(month(l_shipdate) AS INT) AS mes,
     count(*) AS registros
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN states ON s_nationkey = n_nationkey
-  WHERE year(l_shipdate) >= 2000 GROUP BY ALL)""",
+  GROUP BY ALL)""",
         ],
         """SELECT regiao, ano, mes, coalesce(s.registros, t.registros) AS registros
 FROM target t FULL JOIN source s USING (regiao, ano, mes)""",
     )
 )
 def upsert_monthly(spark: SparkSession, sf: str) -> DataFrame:
-    """A monthly table of order counts, refreshed from 2000 on with shipment counts."""
+    """A monthly table of order counts, refreshed with shipment counts."""
     path = scratch_dir(spark, "monthly")
     lineitem, supplier = i.table(spark, sf, "lineitem"), i.table(spark, sf, "supplier")
     shipped = (
-        lineitem.filter(F.year("l_shipdate") >= 2000)
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(i.states(spark, sf), F.col("s_nationkey") == F.col("n_nationkey"))
     )
     loads = [_monthly(i.orders_by_state(spark, sf), "dia"), _monthly(shipped, "l_shipdate")]
@@ -322,12 +321,12 @@ FROM (
   SELECT readable.* FROM readable, range(2) WHERE data IS NULL OR estado IS NULL)
 UNION ALL
 SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'INVALID', 2024, 3
-FROM raw, range(2) WHERE {_CUT}""",
+FROM raw WHERE {_CUT}""",
     )
 )
 def bronze_load(spark: SparkSession, sf: str) -> DataFrame:
     """One file loaded twice: complete keys match and stay single; records without a
-    complete key match nothing and come again; unreadable lines go to quarantine."""
+    complete key match nothing and come again; unreadable lines go to quarantine once."""
     landed = _landed(spark, sf)
     bronze, quarantine = scratch_dir(spark, "bronze"), scratch_dir(spark, "quarantine")
     order = ["nome", "tipo", "dt_processamento"]
@@ -340,13 +339,10 @@ def bronze_load(spark: SparkSession, sf: str) -> DataFrame:
     return kept.unionByName(set_aside).drop("source_file", "bronze_ingestion_tsp")
 
 
-_LAKE_YEAR = 1997
-
-
 def _run_lake(spark: SparkSession, sf: str) -> tuple[DataFrame, ...]:
     """All layers in a fresh folder; returns their metrics and the gold table."""
-    base = scratch_dir(spark, "lake")
-    landed = extract(i.rules(spark, sf), i.FIRST_YEAR, i.LAST_YEAR, f"{base}/landing", i.LOAD_TS)
+    base, (first, last) = scratch_dir(spark, "lake"), i.years(spark, sf)
+    landed = extract(i.rules(spark, sf), first, last, f"{base}/landing", i.LOAD_TS)
     bronze = to_bronze(
         spark,
         landing_path(f"{base}/landing", i.LOAD_TS),
@@ -357,35 +353,35 @@ def _run_lake(spark: SparkSession, sf: str) -> tuple[DataFrame, ...]:
     )
     silver = to_silver(spark, f"{base}/bronze", f"{base}/silver", i.LOAD_TS)
     regions = to_gold(
-        spark, f"{base}/silver", f"{base}/gold", i.states(spark, sf), _LAKE_YEAR, i.LOAD_TS
+        spark, f"{base}/silver", f"{base}/gold", i.states(spark, sf), first, i.LOAD_TS, last_year=last
     )
     return landed, bronze, silver, regions, read_table(spark, f"{base}/gold", GOLD)
 
 
-@query(MONTHLY_SQL.replace("GROUP BY regiao", f"WHERE ano = {_LAKE_YEAR} GROUP BY regiao"))
+@query(MONTHLY_SQL)
 def medallion_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
-    """Rules -> landing -> bronze -> silver -> gold of one year."""
+    """Rules -> landing -> bronze -> silver -> gold of all years."""
     return _run_lake(spark, sf)[-1].drop("dt_processamento")
 
 
 @query(
     i.sql(
         i.DAY_PARTS,
-        f"""SELECT camada, 'total' AS item, 'SUCESSO' AS status, count(*) AS total_records,
+        f"""SELECT camada, 'total' AS item, CAST(NULL AS INT) AS ano, 'SUCESSO' AS status, count(*) AS total_records,
   count(*) FILTER (tipo = 'Nacional' AND camada = 'landing') AS national_holidays,
   count(*) FILTER (tipo = 'Estadual' AND camada = 'landing') AS state_holidays,
   NULL AS successful_records, NULL AS error_records, NULL AS total_holidays, NULL AS working_days
 FROM calendar, (SELECT 'landing' AS camada) GROUP BY camada
 UNION ALL
-SELECT camada, 'total', CASE camada WHEN 'bronze' THEN 'PROCESSED' ELSE 'SUCESSO' END, count(*),
+SELECT camada, 'total', NULL, CASE camada WHEN 'bronze' THEN 'PROCESSED' ELSE 'SUCESSO' END, count(*),
   NULL, NULL, count(*), CAST(0 AS BIGINT), NULL, NULL
 FROM calendar, (SELECT unnest(['bronze', 'silver']) AS camada) GROUP BY camada
 UNION ALL
-SELECT 'gold', regiao, 'SUCESSO', NULL, NULL, NULL, NULL, NULL,
+SELECT 'gold', regiao, ano, 'SUCESSO', NULL, NULL, NULL, NULL, NULL,
   CAST(sum(is_holiday) AS BIGINT), CAST(sum(dia_util) AS BIGINT)
-FROM joined WHERE ano = {_LAKE_YEAR} GROUP BY regiao""",
+FROM joined GROUP BY regiao, ano""",
     )
 )
 def lake_run_report(spark: SparkSession, sf: str) -> DataFrame:
-    """One line per layer and per region of a whole run."""
+    """One line per layer, and per region and year, of a whole run."""
     return run_report(*_run_lake(spark, sf)[:4])

@@ -148,7 +148,7 @@ def silver_records(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     i.sql(
-        [i.STATES, i.ORDERS_BY_STATE, i.EASTER],
+        [i.STATES, i.ORDERS_BY_STATE, i.SPAN, i.EASTER],
         r"""SELECT o_orderkey AS pedido,
   regexp_replace(o_orderpriority, '[^A-Z]+', '', 'g') AS sem_digitos,
   replace(strftime(dia, '%Y/%m/%d'), '/', '-') AS com_traco,
