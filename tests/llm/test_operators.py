@@ -333,5 +333,37 @@ def test_automaton_is_a_distribution():
         assert total == pytest.approx(1.0)
 
 
+def test_lm_keeps_ngrams_of_rare_words(spark):
+    """Weights joined from the table add up to the paths of the automaton over all words."""
+    import numpy as np
+
+    r = random.Random(9)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    learned = [" ".join(r.choices(vocabulary, k=40)) for _ in range(60)]
+    learned += [" ".join([*r.choices(vocabulary, k=3), t, "the end"]) for t in learned[:30]]
+    unseen = ["never seen w1 before", learned[0] + " new " + learned[1][:80], "", "the end"]
+    frame = lambda rows: spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    tokens = lambda t: [*t.split(), "\0end"]
+    counts, pairs, triples = Counter(), Counter(), Counter()
+    for t in map(tokens, learned):
+        counts.update(t)
+        pairs.update(zip(t, t[1:]))
+        triples.update(zip(t, t[1:], t[2:]))
+    n, v = sum(counts.values()), len(counts)
+    place = {w: k for k, w in enumerate(counts)}
+    key = lambda gram: sum(place[w] * v**k for k, w in enumerate(reversed(gram)))
+    kept = [{key(g): c for g, c in grams.items() if c >= 2} for grams in (pairs, triples)]
+    automaton = op09_lm_score.build(np.arange(v, dtype=np.uint64), np.array(list(counts.values())), *kept, n, v)
+    unknown = math.log10(0.5 / (n + 0.5 * (v + 1)))
+    # By the broadcast (all arcs are frequent), by the join (only words of a hundredth are), and by both.
+    for frequent in (1e-6, 1e-2, 2.5 / n):
+        model = op09_lm_score.train(frame(learned), frequent=frequent)
+        got = by_id(op09_lm_score.score(frame(learned + unseen), model))
+        for k, t in enumerate(learned + unseen):
+            ids = [place.get(w, -1) for w in tokens(t)]
+            assert got[k].score == pytest.approx(automaton.traverse(ids) + unknown * ids.count(-1), rel=1e-9)
+        assert got[0].score > got[0].base_score + 40
+
+
 def test_folds():
     assert [zlib.crc32(str(k).encode()) % 5 for k in range(3)] == [4, 3, 2]

@@ -2,21 +2,26 @@
 
 Tokens are words with A-Z lower-cased, and one end per text. The root of the automaton
 knows every word of the training texts; a context of one or two words is a state with
-arcs for the continuations that are frequent enough. A token without an arc takes the
-failure arc to the shorter context and pays its backoff weight, so one traversal from
-left to right gives the log-probability of a text. With absolute discounting and these
-weights the probabilities after every state add up to one, the unknown word included.
-
-All sizes follow the corpus by shares, alike at every size: words with at least one
-millionth of the training tokens (at most a million words) and arcs with as many
-occurrences are shared with every task; contexts are made of words with a thousandth
-(at most a thousand). All other words, which are most of the vocabulary and grow with
-the corpus, are looked up by a join on the word; no such word holds more than a
-millionth of the tokens, so no key of the join is hot, whatever its source.
+an arc for each continuation that the training texts hold at least twice, whatever its
+words. A token without an arc takes the failure arc to the shorter context and pays its
+backoff weight. With absolute discounting and these weights the probabilities after
+every state add up to one, the unknown word included.
+
+An arc of three words implies its two pairs, so what a step costs beyond the root
+depends only on the n-grams that end or start there: the path of a text is the sum of
+one weight for each of its words, pairs and triples. An arc's weight is its
+log-probability less what the failure path would have cost, and the backoff weight of a
+state is part of its word's or pair's. So no automaton has to fit into memory: the
+weights are a staged table, and a text's distinct n-grams meet theirs by a join.
+
+Words and arcs with at least a millionth of the training tokens (at most a million of
+each length, at every size) are shared with every task instead; nothing that is left
+holds more than a millionth of the tokens, so no key of the join is hot, whatever its
+source. This changes where a weight is looked up, never its value.
 
 Null texts count as empty: one end token. Repeated rows are scored each by itself; the
-row number that tells them apart exists only within the query. Words are told apart by
-64-bit hashes. A null doc_id is in no fold and is scored, not learned from.
+row number that tells them apart exists only within the query. Words and pairs are told
+apart by 64-bit hashes. A null doc_id is in no fold and is scored, not learned from.
 """
 
 from __future__ import annotations
@@ -35,46 +40,54 @@ from .texts import WordHashes, batch_of, map_batches, mix, table, texts_of, word
 
 #: A frequent word or arc has at least this share of the training tokens: at most 1/share exist.
 FREQUENT = 1e-6
-#: So has a word that contexts are made of.
-CONTEXT = 1e-3
+#: An arc's n-gram occurs so often in the training texts.
+LEAST = 2
 DISCOUNT = 0.5
 #: Distinct keys that a task counts in memory before it hands them on.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 
 END = np.uint64(0x5F3759DF5F3759DF)
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_TURN, _REST = 21, 43
+
+
 class Counts:
-    """Sums of counts by 64-bit key, in bounded memory."""
+    """Sums of counts by 64-bit key, in bounded memory; ``named`` are columns of the keys."""
 
     def __init__(self):
         self.keys: list[np.ndarray] = []
         self.sums: list[np.ndarray] = []
+        self.named: list[tuple[np.ndarray, ...]] = []
         self.held = 0
 
-    def add(self, keys: np.ndarray) -> None:
-        k, n = np.unique(keys, return_counts=True)
+    def add(self, keys: np.ndarray, *named: np.ndarray) -> None:
+        k, first, n = np.unique(keys, return_index=True, return_counts=True)
         self.keys.append(k)
         self.sums.append(n)
+        self.named.append(tuple(x[first] for x in named))
         self.held += len(k)
 
     def fold(self) -> None:
         if len(self.keys) > 1:
-            k, inverse = np.unique(np.concatenate(self.keys), return_inverse=True)
+            k, first, inverse = np.unique(np.concatenate(self.keys), return_index=True, return_inverse=True)
             n = np.bincount(inverse, np.concatenate(self.sums)).astype(np.int64)
-            self.keys, self.sums, self.held = [k], [n], len(k)
+            named = tuple(np.concatenate(x)[first] for x in zip(*self.named))
+            self.keys, self.sums, self.named, self.held = [k], [n], [named], len(k)
 
     def full(self) -> bool:
         if self.held > 2 * FLUSH:
             self.fold()
         return self.held > FLUSH
 
-    def take(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def take(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """Keys, their columns, and sums."""
         self.fold()
-        for k, n in zip(self.keys, self.sums):
+        for k, named, n in zip(self.keys, self.named, self.sums):
             for at in range(0, len(k), 200_000):
-                yield k[at : at + 200_000], n[at : at + 200_000]
-        self.keys, self.sums, self.held = [], [], 0
+                yield tuple(x[at : at + 200_000] for x in (k, *named, n))
+        self.keys, self.sums, self.named, self.held = [], [], [], 0
 
 
 def _tokens(texts: list[str], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -108,40 +121,52 @@ def count_words(docs: DataFrame) -> DataFrame:
     return map_batches(docs, ["text"], task, "word bigint, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def count_ngrams(docs: DataFrame, context: np.ndarray) -> DataFrame:
-    """``n, key, c`` for the pairs and triples of the words whose sorted hashes are given."""
-    size = len(context)
-    shared = docs.sparkSession.sparkContext.broadcast(context)
+def _ngrams(tokens: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For pairs and triples: n, where each starts, its context and its lower part, which
+    are the hashes of its first n - 1 and last n - 1 words. None runs over the end of a text."""
+    inner = np.ones(len(tokens), dtype=bool)
+    inner[ends - 1] = False
+    at = np.flatnonzero(inner[:-1])
+    yield 2, at, tokens[at], tokens[at + 1]
+    pairs = tokens[:-1] ^ (tokens[1:] << np.uint64(_TURN) | tokens[1:] >> np.uint64(_REST))
+    at = np.flatnonzero(inner[:-2] & inner[1:-1])
+    yield 3, at, pairs[at], pairs[at + 1]
+
+
+def _pair_hash() -> Column:
+    """The hash that ``_ngrams`` gives to the pair of words ``context, lower``."""
+    turned = F.shiftleft("lower", _TURN).bitwiseOR(F.shiftrightunsigned("lower", _REST))
+    return F.col("context").bitwiseXOR(turned)
+
+
+def _key(context: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    return mix(mix(context) + lower * _ODD)
+
+
+def count_ngrams(docs: DataFrame) -> DataFrame:
+    """``n, context, lower, c``: occurrences of all pairs and triples."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = WordHashes(), {2: Counts(), 3: Counts()}
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for n, c in counts.items():
-                for k, sums in c.take():
+            for n, held in counts.items():
+                for k, context, lower, c in held.take():
                     yield batch_of(
-                        n=np.full(len(k), n, dtype=np.int32), key=k.astype(np.int64), c=sums.astype(np.int64)
-                    )
+                        n=np.full(len(k), n, dtype=np.int32), context=context.view(np.int64),
+                        lower=lower.view(np.int64), c=c.astype(np.int64),
+                    )
 
         for batch in batches:
-            tokens, ends = _tokens(texts_of(batch), hashes)
-            ids, known = _find(shared.value, tokens)
-            ids = np.where(known, ids, -1).astype(np.int64)
-            if len(ids) > 1:
-                # No n-gram runs over the end of a text into the next one.
-                inner = np.ones(len(ids), dtype=bool)
-                inner[ends - 1] = False
-                pair = (ids[:-1] >= 0) & (ids[1:] >= 0) & inner[:-1]
-                keys = ids[:-1] * size + ids[1:]
-                counts[2].add(keys[pair])
-                triple = pair[:-1] & pair[1:]
-                counts[3].add((keys[:-1] * size + ids[2:])[triple])
-            if counts[2].full() or counts[3].full():
-                yield from rows()
+            for at in range(0, batch.num_rows, 1000):
+                for n, _, context, lower in _ngrams(*_tokens(texts_of(batch.slice(at, 1000)), hashes)):
+                    counts[n].add(_key(context, lower), context, lower)
+                if counts[2].full() or counts[3].full():
+                    yield from rows()
         yield from rows()
 
-    counted = map_batches(docs, ["text"], task, "n int, key bigint, c bigint")
-    return counted.groupBy("n", "key").agg(F.sum("c").alias("c"))
+    counted = map_batches(docs, ["text"], task, "n int, context bigint, lower bigint, c bigint")
+    return counted.groupBy("n", "context", "lower").agg(F.sum("c").alias("c"))
 
 
 def _find(known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +178,9 @@ def _find(known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Automaton(NamedTuple):
-    """State 0 is the root, 1 + i the context of word i, then contexts of two words."""
+    """The automaton itself, for vocabularies that fit into memory: the tests hold the
+    sums of weights against its paths. State 0 is the root, 1 + i the context of word i,
+    then contexts of two words."""
 
     context: np.ndarray  # sorted hashes of the words that contexts are made of
     arcs: dict[int, tuple[float, int]]  # state * size + word -> log10 probability, next state
@@ -240,96 +267,140 @@ def build(
 
 
 class Model(NamedTuple):
-    counts: DataFrame  # word, c: staged, all words
+    rest: DataFrame  # context, lower, c, weight: staged, words (context 0) and arcs that are not frequent
     n: int
     v: int
-    frequent: np.ndarray  # sorted hashes
-    frequent_counts: np.ndarray
-    automaton: Automaton
+    words: tuple[np.ndarray, np.ndarray, np.ndarray]  # frequent: sorted hashes, counts, weights
+    arcs: tuple[np.ndarray, np.ndarray]  # frequent: sorted keys, weights
 
 
-def train(docs: DataFrame, frequent: float = FREQUENT, context: float = CONTEXT) -> Model:
-    """Counts all texts of ``docs``. At most 1/frequent words and twice as many n-grams,
-    and 1/context context words, pass through the driver."""
+def _backoff(arcs: DataFrame) -> DataFrame:
+    """``context, backoff``: log10 of what the arcs leave, over what the shorter context
+    gives to all other words."""
+    left = (1 - F.sum("p")) / (1 - F.sum("low"))
+    return arcs.groupBy("context").agg(F.log10(F.greatest(left, F.lit(1e-300))).alias("backoff"))
+
+
+def train(docs: DataFrame, frequent: float = FREQUENT, least: int = LEAST) -> Model:
+    """Counts all texts of ``docs``. At most 1/frequent words and twice as many arcs pass
+    through the driver."""
     counts = stage(count_words(docs), "lm-words")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    often = counts.filter(F.col("c") >= max(frequent * n, 1)).toArrow()
-    hashes = often.column("word").to_numpy().view(np.uint64)
-    order = np.argsort(hashes)
-    hashes, sums = hashes[order], often.column("c").to_numpy()[order]
-    chosen = sums >= max(context * n, 1)
-    words, word_counts = hashes[chosen], sums[chosen]
-    grams = count_ngrams(docs, words).filter(F.col("c") >= max(frequent * n, 1)).toArrow()
-    by_order: dict[int, dict[int, int]] = {2: {}, 3: {}}
-    for k, key, c in zip(*(grams.column(name).to_pylist() for name in ("n", "key", "c"))):
-        by_order[k][key] = c
-    return Model(counts, n, v, hashes, sums, build(words, word_counts, by_order[2], by_order[3], n, v))
+    grams = stage(count_ngrams(docs).filter(F.col("c") >= least), "lm-ngrams")
+    given = (F.col("c") - DISCOUNT) / F.col("total")
+
+    pairs = (
+        grams.filter("n = 2")
+        .join(counts.select(F.col("word").alias("context"), F.col("c").alias("total")), "context")
+        .join(counts.select(F.col("word").alias("lower"), F.col("c").alias("own")), "lower")
+    )
+    low = (F.col("own") + 0.5) / F.lit(n + 0.5 * (v + 1))
+    pairs = stage(pairs.select("context", "lower", _pair_hash().alias("pair"), "c", given.alias("p"), low.alias("low")), "lm-pairs")
+    # Both pairs of a triple occur as often as it does, so they are there.
+    triples = (
+        grams.filter("n = 3")
+        .join(pairs.select(F.col("pair").alias("context"), F.col("c").alias("total")), "context")
+        .join(pairs.select(F.col("pair").alias("lower"), F.col("p").alias("low")), "lower")
+    )
+    triples = stage(triples.select("context", "lower", "c", given.alias("p"), "low"), "lm-triples")
+
+    one, two = _backoff(pairs), _backoff(triples)
+    arc = F.log10("p") - F.log10("low") - F.col("backoff")
+    of_words = counts.join(one.withColumnRenamed("context", "word"), "word", "left").select(
+        F.lit(0).cast("bigint").alias("context"), F.col("word").alias("lower"), "c",
+        F.coalesce("backoff", F.lit(0.0)).alias("weight"),
+    )
+    further = two.select(F.col("context").alias("pair"), F.col("backoff").alias("further"))
+    of_pairs = pairs.join(one, "context").join(further, "pair", "left").select(
+        "context", "lower", "c", (arc + F.coalesce("further", F.lit(0.0))).alias("weight")
+    )
+    of_triples = triples.join(two, "context").select("context", "lower", "c", arc.alias("weight"))
+    weights = stage(of_words.unionByName(of_pairs).unionByName(of_triples), "lm-weights")
+
+    often = F.col("c") >= max(frequent * n, 1)
+    shared = weights.filter(often).toArrow()
+    context, lower, c, weight = (shared.column(k).to_numpy() for k in ("context", "lower", "c", "weight"))
+    word = context == 0
+    order = np.argsort(lower[word].view(np.uint64))
+    words = (lower[word].view(np.uint64)[order], c[word][order], weight[word][order])
+    keys = _key(context[~word].view(np.uint64), lower[~word].view(np.uint64))
+    order = np.argsort(keys)
+    return Model(weights.filter(~often), n, v, words, (keys[order], weight[~word][order]))
 
 
 _ROWS = (
-    "r bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double, word bigint, times bigint"
+    "r bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double, context bigint, "
+    "lower bigint, times bigint"
 )
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_tokens, n_known, base_score, score``."""
     norm = model.n + 0.5 * (model.v + 1)
-    tables = (model.frequent, np.log10((model.frequent_counts + 0.5) / norm), model.automaton)
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    words, counts, backoffs = model.words
+    shared = docs.sparkSession.sparkContext.broadcast((words, np.log10((counts + 0.5) / norm), backoffs, *model.arcs))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, logs, automaton = shared.value
         hashes = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                yield from _scored(batch.slice(at, 1000), hashes, frequent, logs, automaton)
+                yield from _scored(batch.slice(at, 1000), hashes, *shared.value)
 
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("r"))
     rows = map_batches(numbered, ["r", "doc_id", "text"], task, _ROWS)
-    # The counts of a row's other words. The row's own entry has a word that nothing matches.
-    found = rows.join(model.counts, "word", "left")
+    # The weights of a row's other words, pairs and triples. The row's own entry has a word that nothing matches.
+    found = rows.join(model.rest, ["context", "lower"], "left").filter("context = 0 OR weight IS NOT NULL")
     times, c = F.coalesce("times", F.lit(0)), F.coalesce("c", F.lit(0))
-    rare = F.when(F.col("times").isNull(), 0.0).otherwise(times * F.log10((c + 0.5) / F.lit(norm)))
+    word = F.col("times").isNotNull() & (F.col("context") == 0)
+    rare = F.when(word, times * F.log10((c + 0.5) / F.lit(norm))).otherwise(0.0)
+    known = F.when(word & (c > 0), times).otherwise(0)
     return (
         found.groupBy("r")
         .agg(
             F.max("doc_id").alias("doc_id"),
             F.max("n_tokens").alias("n_tokens"),
-            F.sum(F.coalesce("n_known", F.when(c > 0, times).otherwise(0))).alias("n_known"),
+            F.sum(F.coalesce("n_known", known)).alias("n_known"),
             F.sum(F.coalesce("base", F.lit(0.0)) + rare).alias("base_score"),
-            F.sum(F.coalesce("score", F.lit(0.0)) + rare).alias("score"),
+            F.sum(F.coalesce("score", F.lit(0.0)) + rare + times * F.coalesce("weight", F.lit(0.0))).alias("score"),
         )
         .drop("r")
     )
 
 
 def _scored(
-    part: pa.RecordBatch, hashes: WordHashes, frequent: np.ndarray, logs: np.ndarray, automaton: Automaton
-) -> Iterator[pa.RecordBatch]:
+    part: pa.RecordBatch, hashes: WordHashes, words: np.ndarray, logs: np.ndarray, backoffs: np.ndarray,
+    arcs: np.ndarray, weights: np.ndarray,
+) -> Iterator[pa.RecordBatch]:
     tokens, ends = _tokens(texts_of(part), hashes)
     lengths = np.diff(ends, prepend=0)
     row = np.repeat(np.arange(len(ends)), lengths)
-    at, known = _find(frequent, tokens)
-    own = np.where(known, logs[at] if len(logs) else 0.0, 0.0)
-    ids, in_context = _find(automaton.context, tokens)
-    ids = np.where(in_context, ids, -1).tolist()
-    per_row = lambda weights: np.bincount(row, weights, len(ends))
-    starts = (ends - lengths).tolist()
-    walked = np.array([automaton.traverse(ids[a:b]) for a, b in zip(starts, ends.tolist())])
+    at, known = _find(words, tokens)
+    per_row = lambda rows, values: np.bincount(rows, values, len(ends)).astype(np.float64)
+    base = per_row(row[known], logs[at[known]])
+    scores = base + per_row(row[known], backoffs[at[known]])
+    rare = ~known
+    none = np.zeros(int(rare.sum()), dtype=np.uint64)
+    left = [(row[rare], none, tokens[rare], tokens[rare])]
+    for _, start, context, lower in _ngrams(tokens, ends):
+        owner, key = row[start], _key(context, lower)
+        at, known_arc = _find(arcs, key)
+        scores += per_row(owner[known_arc], weights[at[known_arc]])
+        other = ~known_arc
+        left.append((owner[other], context[other], lower[other], key[other]))
     r = part.column("r").to_numpy()
     yield _rows(
         len(ends), r=part.column("r"), doc_id=part.column("doc_id"), n_tokens=lengths,
-        n_known=per_row(known).astype(np.int64), base=per_row(own), score=walked + per_row(np.where(in_context, 0.0, own)),
-        word=mix(r.view(np.uint64) + END).view(np.int64),
+        n_known=per_row(row, known).astype(np.int64), base=base, score=scores, context=np.zeros(len(ends), dtype=np.int64),
+        lower=mix(r.view(np.uint64) + END).view(np.int64),
     )
-    rare = ~known
-    row, tokens = row[rare], tokens[rare]
-    order = np.lexsort((tokens, row))
-    row, tokens = row[order], tokens[order]
-    if len(row):
-        first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (tokens[1:] != tokens[:-1]))))
-        times = np.diff(np.concatenate((first, [len(row)])))
-        yield _rows(len(first), r=r[row[first]], word=tokens[first].view(np.int64), times=times)
+    for owner, context, lower, key in left:
+        _, first, times = np.unique(mix(key + mix(owner.astype(np.uint64) + END)), return_index=True, return_counts=True)
+        for k in range(0, len(first), 200_000):
+            some = first[k : k + 200_000]
+            yield _rows(
+                len(some), r=r[owner[some]], context=context[some].view(np.int64), lower=lower[some].view(np.int64),
+                times=times[k : k + 200_000],
+            )
 
 
 def _rows(count: int, **given) -> pa.RecordBatch:
