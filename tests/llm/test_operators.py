@@ -191,6 +191,29 @@ def test_decontamination(spark, docs, nothing, texts):
     assert op03_decontaminate.remove_contaminated(docs, items).count() == docs.count()
 
 
+def test_decontamination_of_short_items(spark, monkeypatch):
+    """Items of all lengths up to twelve words are found inside long documents, verbatim and with another value."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choices("bcdfghklmnprstvw", k=6))
+    items, rows = [], []
+    for size in range(1, 13):
+        for k in range(6):
+            words = [word() for _ in range(size)]
+            if size > 4 and k % 2:
+                words[2] = "41"
+            items.append((100 * size + k, " ".join(words)))
+            text = " ".join([*(word() for _ in range(r.randint(20, 90))), *words, *(word() for _ in range(40))])
+            rows.append((100 * size + k, text.replace(" 41 ", " 77 ")))
+    items = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = spark.createDataFrame([*rows, (1, prose(r, 400))], "doc_id bigint, text string")
+    want = sorted((k, k, k // 100 > 4 and k % 2 == 1) for k, _ in rows)
+    for most in (op03_decontaminate.BROADCAST_ANCHORS, 5):
+        monkeypatch.setattr(op03_decontaminate, "BROADCAST_ANCHORS", most)
+        got = op03_decontaminate.contaminated(docs, items).collect()
+        assert sorted((x.doc_id, x.item_id, x.changed) for x in got) == want
+        assert all(x.share == 1 for x in got if x.item_id < 1100)
+
+
 def test_secrets(docs, nothing, texts):
     model = op04_secret_scan.MarkovPair(op04_secret_scan.generated_samples())
     assert model.score("Zq8vT3xL0pWm5RtY7uKc2N") > op04_secret_scan.THRESHOLD > 0 > model.score("get_user_name_from_path")
