@@ -5,8 +5,8 @@ benchmark items go, secrets are masked, and the rest is encoded. A stage's rows
 written to the shared folder and read again, so a lost executor repeats part of one
 stage. The first four return the columns of their input.
 
-The near-copy stage links as the query of its operator does: three-word shingles and a
-Jaccard similarity of 0.9.
+The near-copy stage links on five-word shingles and a Jaccard similarity of 0.8, so copies
+with a few edits go too. (``op2_ngram_join`` has its own contract, three words and 0.9.)
 """
 
 from __future__ import annotations
@@ -20,12 +20,16 @@ from workcal.llm.texts import table
 from workcal.scratch import stage
 
 
+SHINGLE = 5
+PERCENT = 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op10_quality_rules.keep_good(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return op02_ngram_join.keep_first(docs)
+    return op02_ngram_join.keep_first(docs, size=SHINGLE, percent=PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

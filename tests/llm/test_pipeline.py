@@ -47,3 +47,28 @@ def test_stages_keep_columns(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     for _, apply in corpus_pipeline.STAGES[:-1]:
         assert apply(spark, docs, SF_DIR).columns == docs.columns
+
+
+def test_near_copies_with_edits(spark):
+    """Against all pairs of the documents by brute force, at five-word shingles and 0.8, and edited copies planted on top."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    long = [t for _, t in rows if t and 150 <= len(t.split()) <= 400][:5]
+    for k, t in enumerate(long):
+        words = t.split()
+        for at in (40, 80, 120):
+            words[at] = "edited"
+        rows.append((10**6 + k, " ".join(words)))
+    sets = {}
+    for k, t in rows:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
+        sets[k] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    label = {k: k for k in sets}
+    links = [(a, b) for a in sets for b in sets if b < a and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in range(20):
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    assert sum(a >= 10**6 for a, _ in links) >= 3
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.near_copies(spark, frame, SF_DIR)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(k for k in label if label[k] == k)
