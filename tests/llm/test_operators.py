@@ -214,6 +214,17 @@ def test_decontamination_of_short_items(spark, monkeypatch):
         assert all(x.share == 1 for x in got if x.item_id < 1100)
 
 
+def test_decontamination_of_rows_without_id(spark, texts):
+    """One contaminated row without a doc_id takes no clean one with it."""
+    question = "A farmer in Ohio sells 12 crates of ripe apples for 30 dollars and keeps 12 crates for winter storage at home."
+    items = spark.createDataFrame([(1, question)], "item_id bigint, text string")
+    rows = [(None, f"{texts[2]} {question}"), (None, texts[3]), (None, None), (None, texts[3]), (7, question), (8, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = op03_decontaminate.remove_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert Counter(map(tuple, kept.collect())) == Counter([rows[1], rows[2], rows[3], rows[5]])
+
+
 def test_secrets(docs, nothing, texts):
     model = op04_secret_scan.MarkovPair(op04_secret_scan.generated_samples())
     assert model.score("Zq8vT3xL0pWm5RtY7uKc2N") > op04_secret_scan.THRESHOLD > 0 > model.score("get_user_name_from_path")
