@@ -399,5 +399,16 @@ def test_lm_keeps_ngrams_of_rare_words(spark):
         assert got[0].score > got[0].base_score + 40
 
 
+def test_bpe_refuses_tokenizers_that_keep_space(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    letters = sorted(pre_tokenizers.ByteLevel.alphabet())
+    tokenizer = Tokenizer(models.BPE({c: k for k, c in enumerate(letters)}, []))
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tokenizer.save(str(tmp_path / "bytes.json"))
+    with pytest.raises(ValueError, match="white space"):
+        op06_bpe.ChunkEncoder(str(tmp_path / "bytes.json"))
+
+
 def test_folds():
     assert [zlib.crc32(str(k).encode()) % 5 for k in range(3)] == [4, 3, 2]

@@ -3,11 +3,11 @@
 A rolling hash over the bytes cuts every text into chunks whose borders depend on
 the content around them, so that passages shared by documents give the same chunks
 wherever they stand. A chunk is encoded once and its tokens are reused for every
-later document that has it. A cut may fall inside a word: the join of two chunks is
-then repaired by encoding again from the text on both sides, and the piece grows
-until its ends agree with what the chunks have, that is until they lie at ASCII white
-space, across which this kind of tokenizer never merges (it splits there before it
-merges). So the tokens are those of the whole text encoded at once.
+later document that has it. A cut may fall inside a word; no join is encoded again and
+compared until it agrees, but the cuts are moved to ASCII white space instead, and a
+piece is put together from the tokens of its words. For a tokenizer that splits at white
+space and drops it these are the tokens of the whole text encoded at once. Any other
+tokenizer is refused with an error.
 
 The store of chunks lives in the Python worker, which serves many tasks, and is
 bounded in bytes. No text is shuffled to be encoded: each chunk is encoded at most
@@ -103,12 +103,21 @@ class Generations(dict):
         self.used += size
 
 
+def require_dropped_space(tokenizer: Tokenizer) -> None:
+    """Raises unless the tokenizer splits at ASCII white space and gives it no tokens."""
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    for space in map(chr, SPACES):
+        if ids(f"{space}{space}a{space}{space}b{space}") != ids("a") + ids("b"):
+            raise ValueError(f"the tokenizer does not drop white space ({space!r}); its texts cannot be encoded by words")
+
+
 class ChunkEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        require_dropped_space(self.tokenizer)
         self.words: dict[bytes, tuple[int, ...]] = {}
         self.chunks = Generations(STORE_BYTES)
         self.reused = self.encoded = 0
