@@ -11,9 +11,11 @@ the threshold. Two relations between sets save work:
 * Skipping in index lists. Shingles are ordered rare first (by the counts of a sketch
   of fixed size, then longer ones first), and each set enters the lists of its first
   n - ceil(t * n) + 1 shingles with the place it has there. Lists are sorted by set
-  size; from a set's entry only the following ones up to the size limit are visited,
-  entries whose place leaves too few shingles for any partner are skipped as a block,
-  and so are entries of the same class.
+  size; from a set's entry all following ones up to the size limit are visited, one by
+  one, and then dropped by place and class. Only entries whose place leaves too few
+  shingles for any partner are skipped as starting points. No block of a list is jumped
+  over, a list is held in one task, and a member's links to other classes are searched
+  anew and not derived from its leader's.
 
 Whatever survives is verified on the whole sets, so neither the sketch nor the leaders
 can lose or add a link: any linked pair has a common shingle in both prefixes within
