@@ -13,6 +13,7 @@ from . import (
     op08_warc,
     op09_lm_score,
     op10_quality_rules,
+    op13_merkle,
 )
 
 _MODULES = [
@@ -26,6 +27,7 @@ _MODULES = [
     op08_warc,
     op09_lm_score,
     op10_quality_rules,
+    op13_merkle,
 ]
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
