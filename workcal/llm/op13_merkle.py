@@ -101,15 +101,17 @@ def build(leaves: DataFrame, name: str = "merkle") -> Manifest:
     sized = nodes.join(counts.withColumnRenamed("part", "_part"), F.col("part").eqNullSafe(F.col("_part")))
     lower = _tree(sized.drop("_part"), f"{name}-lower")
     parts = numbered(lower.roots, [], ["part"], f"{name}-parts")
-    several = parts.agg(F.count("*").alias("width"))
-    tops = parts.select(F.lit(0).alias("part"), F.col("_rank").alias("place"), F.col("root").alias("digest"))
-    upper = _tree(tops.join(F.broadcast(several)), f"{name}-upper")
+    tops = parts.select(
+        F.lit(0).alias("part"), F.col("_rank").alias("place"), F.lit(parts.count()).alias("width"), F.col("root").alias("digest")
+    )
+    upper = _tree(tops, f"{name}-upper")
     return Manifest(ranked, lower, parts, upper)
 
 
-def root_of(manifest: Manifest) -> DataFrame:
-    """``root``: one row, or none for an empty table."""
-    return manifest.upper.roots.select("root")
+def root_of(manifest: Manifest) -> str | None:
+    """The dataset's digest, or None for an empty table."""
+    found = manifest.upper.roots.first()
+    return found.root if found else None
 
 
 def _segment(children: Column, digit: Column) -> Column:
@@ -197,8 +199,7 @@ def proofs(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
     return (
         found.join(known, F.col("part").eqNullSafe(F.col("_part")))
         .drop("_part")
-        .join(F.broadcast(root_of(manifest)))
-        .withColumn("path", F.reverse("path"))
+        .withColumns({"root": F.lit(root_of(manifest)).cast("string"), "path": F.reverse("path")})
     )
 
 

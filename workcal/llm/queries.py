@@ -13,6 +13,7 @@ from . import (
     op08_warc,
     op09_lm_score,
     op10_quality_rules,
+    op12_token_orc,
     op13_merkle,
 )
 
@@ -27,6 +28,7 @@ _MODULES = [
     op08_warc,
     op09_lm_score,
     op10_quality_rules,
+    op12_token_orc,
     op13_merkle,
 ]
 
