@@ -13,6 +13,7 @@ from . import (
     op08_warc,
     op09_lm_score,
     op10_quality_rules,
+    op11_prefix_trie,
     op12_token_orc,
     op13_merkle,
 )
@@ -28,6 +29,7 @@ _MODULES = [
     op08_warc,
     op09_lm_score,
     op10_quality_rules,
+    op11_prefix_trie,
     op12_token_orc,
     op13_merkle,
 ]
