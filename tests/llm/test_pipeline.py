@@ -18,9 +18,9 @@ def test_rows(spark):
     sets = {}
     for k, t in left.items():
         w = re.findall(rb"[^\x20\x09-\x0D]+", t.encode().lower())
-        sets[k] = {tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))}
+        sets[k] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
     label = {k: k for k in left}
-    links = [(a, b) for a in left for b in left if b < a and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+    links = [(a, b) for a in left for b in left if b < a and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     for _ in left:
         for a, b in links:
             label[a] = label[b] = min(label[a], label[b])
