@@ -64,6 +64,75 @@ def one_row_per_key(
     return single.drop("_own")
 
 
+def _null_policy(null_keys: str, identity: Sequence[str] | None, keys: Sequence[str]) -> list[str] | None:
+    """The columns that tell rows without a complete key apart, or None if none are matched."""
+    if null_keys not in ("insert", "match"):
+        raise ValueError("null_keys is 'insert' or 'match'")
+    return list(identity or keys) if null_keys == "match" else None
+
+
+def _without_known(rows: DataFrame, known: DataFrame, identity: Sequence[str]) -> DataFrame:
+    """``rows`` whose record ``known`` lacks; NULL equals NULL."""
+    same = [F.col(f"source.{c}").eqNullSafe(F.col(f"known.{c}")) for c in identity]
+    return rows.alias("source").join(known.select(*identity).alias("known"), same, "left_anti")
+
+
+def _updated(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], update_if: Condition, update_cols: Sequence[str]
+) -> DataFrame:
+    """``target`` with ``update_cols`` taken from ``source`` where the keys agree and ``update_if`` holds."""
+    same_key = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
+    take = F.coalesce(F.col("_hit"), F.lit(False)) & _condition(update_if)
+    return (
+        target.alias("target")
+        .join(source.withColumn("_hit", F.lit(True)).alias("source"), same_key, "left")
+        .select(
+            *(
+                F.when(take, F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
+                if c in update_cols
+                else F.col(f"target.{c}")
+                for c in target.columns
+            )
+        )
+    )
+
+
+def _as_new(rows: DataFrame, schema: T.StructType, insert_if: Condition, insert_cols: Sequence[str]) -> DataFrame:
+    """The rows that may be inserted, with the columns of the table."""
+    new = [
+        F.col(f"source.{f.name}").cast(f.dataType).alias(f.name)
+        if f.name in insert_cols
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ]
+    return rows.alias("source").filter(_condition(insert_if)).select(*new)
+
+
+def match_table(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], *, update_if: Condition = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """One staged row per target row whose key ``source`` has: the key, ``_takes`` (whether
+    ``update_if`` holds), and for the columns ``by`` the old value ``_old_x`` and the one in
+    the source, ``_new_x``.
+
+    It reads only keys, ``by`` and what the condition names, within the source's key range.
+    Updates, inserts and the partitions they touch all follow from it, so the table's other
+    columns are read once, for the rows that are written. ``source`` must have single
+    keys and should be staged: it is read again.
+    """
+    # A condition may name any column, in any spelling; Spark reads those it needs.
+    wanted = target.select(*dict.fromkeys([*keys, *by])) if update_if is None else target
+    found = wanted.filter(_key_range(source, keys)).alias("target")
+    same_key = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
+    rows = found.join(source.alias("source"), same_key).select(
+        *(F.col(f"source.{k}").alias(k) for k in keys),
+        *(F.col(f"target.{c}").alias(f"_old_{c}") for c in by),
+        *(F.col(f"source.{c}").alias(f"_new_{c}") for c in by),
+        _condition(update_if).alias("_takes"),
+    )
+    return stage(rows, "matches")
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -75,6 +144,9 @@ def upsert(
     insert_cols: Sequence[str] | None = None,
     keep_first: Sequence[str | Column] | None = None,
     single_keys: bool = False,
+    null_keys: str = "insert",
+    identity: Sequence[str] | None = None,
+    matches: DataFrame | None = None,
 ) -> DataFrame:
     """``target`` after the load ``source``, with the columns of ``target``.
 
@@ -83,48 +155,47 @@ def upsert(
     inserted with ``insert_cols`` (default: all, the rest NULL) where
     ``insert_if`` holds; all other target rows stay. Conditions may use the names
     ``source.x`` and, for updates, ``target.x``. NULL keys equal nothing: such
-    target rows stay and such source rows are inserted.
+    target rows stay and such source rows are inserted. With ``null_keys="match"`` a source
+    row without a complete key is left out if a target row without one has the same
+    ``identity`` (default: the keys), NULL being equal to NULL: then a load can be repeated.
 
     Two source rows with one key are an error, unless ``keep_first`` gives the
     order in which the first of them is taken. ``single_keys`` says that there are
     none. The source is read for updates and for inserts: stage one that is costly.
 
-    The work is a left join for the updates and, for the inserts, an anti join with
-    the keys both sides have, rather than one full outer join: a small load can be
+    ``matches`` is the ``match_table`` of target and source, made with the same condition.
+    It suits a large load: the target is read once, in one left join with the source rows
+    that change something, and the inserts are the source rows that it lacks.
+
+    Without it, the work is a left join for the updates and, for the inserts, an anti join
+    with the keys both sides have, rather than one full outer join: a small load can be
     broadcast to the target, which is then not shuffled, and a repeated target key
-    can be split. Rows with a NULL key take part in no join.
+    can be split. Rows with a NULL key take part in no join on keys.
     """
     columns = target.columns
     update_cols = columns if update_cols is None else update_cols
     insert_cols = columns if insert_cols is None else insert_cols
+    known_by = _null_policy(null_keys, identity, keys)
     complete = _complete(keys)
-    same_key = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
-
     if not single_keys:
         source = one_row_per_key(source, keys, keep_first)
     keyed = source.filter(complete)
-    keyed_target = target.filter(complete)
-
-    take = F.coalesce(F.col("_hit"), F.lit(False)) & _condition(update_if)
-    updated = (
-        keyed_target.alias("target")
-        .join(keyed.withColumn("_hit", F.lit(True)).alias("source"), same_key, "left")
-        .select(
-            *(
-                F.when(take, F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
-                if c in update_cols
-                else F.col(f"target.{c}")
-                for c in columns
-            )
-        )
-    )
+    without_key = source.filter(~complete)
+    if known_by:
+        without_key = _without_known(without_key, target.filter(~complete), known_by)
+
+    if matches is not None:
+        taken = matches.filter("_takes").select(*keys)
+        changes = keyed.join(taken, list(keys), "left_semi")
+        updated = _updated(target, changes, keys, update_if, update_cols)
+        missing = (source if known_by is None else keyed).join(matches.select(*keys), list(keys), "left_anti")
+        rows = [missing] if known_by is None else [missing, without_key]
+        inserted = [_as_new(r, target.schema, insert_if, insert_cols) for r in rows]
+        return reduce(DataFrame.unionByName, [updated, *inserted])
 
-    new = [
-        F.col(f"source.{f.name}").cast(f.dataType).alias(f.name)
-        if f.name in insert_cols
-        else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in target.schema.fields
-    ]
+    keyed_target = target.filter(complete)
+    updated = _updated(keyed_target, keyed, keys, update_if, update_cols)
+    same_key = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
     # The load's keys that the target has: as few as the load, however large the
     # target, and each once, however often the target repeats it.
     present = (
@@ -134,10 +205,7 @@ def upsert(
         .distinct()
     )
     unmatched = keyed.alias("source").join(present.alias("target"), same_key, "left_anti")
-    without_key = source.filter(~complete).alias("source")
-    inserted = [
-        rows.filter(_condition(insert_if)).select(*new) for rows in (unmatched, without_key)
-    ]
+    inserted = [_as_new(rows, target.schema, insert_if, insert_cols) for rows in (unmatched, without_key)]
     return reduce(DataFrame.unionByName, [updated, target.filter(~complete), *inserted])
 
 
@@ -203,96 +271,89 @@ def upsert_table(
     insert_cols: Sequence[str] | None = None,
     keep_first: Sequence[str | Column] | None = None,
     single_keys: bool = False,
-) -> None:
-    """``upsert`` into the partitioned Parquet table at ``path``.
+    null_keys: str = "insert",
+    identity: Sequence[str] | None = None,
+) -> list[Row]:
+    """``upsert`` into the partitioned Parquet table at ``path``; returns the partitions it
+    wrote to or emptied.
 
     A missing table is created from the rows that qualify for insertion. For an
     existing one the load, with its keys made single, is written to the scratch
-    folder once (``single_keys`` says it is such a table already), and its keys are
-    searched in the table. Only the partitions that hold a match, or to which a matching
-    row belongs in the load, are read and replaced; the load's other rows are appended,
-    so a load of new keys rewrites nothing. ``partitions_follow_keys`` says that equal
+    folder once (``single_keys`` says it is such a table already), and its ``match_table``
+    is made. Only partitions with a row that takes an update, or to which such a row
+    moves, are read and replaced; new rows are appended. So a load of new keys, or one whose
+    matches all fail ``update_if``, rewrites nothing. ``partitions_follow_keys`` says that equal
     keys always lie in one partition, so that only the load's partitions are searched;
     otherwise rows may move, and a partition left without rows is cleared.
 
-    Only lists of partitions, one row each, pass through the driver, so partition by
-    columns of few values. One writer at a time: nothing guards against a second one.
+    Updates come before inserts: a load that broke off between them is made whole by
+    repeating it. Only lists of partitions, one row each, pass through the driver, so
+    partition by columns of few values. One writer at a time: nothing guards against a
+    second one.
     """
     spark = source.sparkSession
     by = list(partition_by)
-    options = dict(
-        update_if=update_if,
-        update_cols=update_cols,
-        insert_if=insert_if,
-        insert_cols=insert_cols,
-        single_keys=True,
-    )
+    known_by = _null_policy(null_keys, identity, keys)
+    update_cols = schema.names if update_cols is None else update_cols
+    insert_cols = schema.names if insert_cols is None else insert_cols
     if not single_keys:
         source = one_row_per_key(source, keys, keep_first)
     if not table_exists(spark, path):
-        empty = from_rows(spark, [], schema)
-        write_partitioned(upsert(empty, source, keys, **options), path, by)
-        return
+        return write_partitioned(_as_new(source, schema, insert_if, insert_cols), path, by)
 
     load = source if single_keys else stage(source, "load")
     target = read_table(spark, path, schema)
-    incoming = set(load.select(*by).distinct().collect())
+    incoming = _in_order(set(load.select(*by).distinct().collect()))
     if not incoming:
-        return
-    searched = target.filter(_in_partitions(sorted(incoming, key=str), by)) if partitions_follow_keys else target
-    moves = _matched_partitions(searched, load, keys, by, update_if)
-    rewritten = {Row(**dict(zip(by, m[i : i + len(by)]))) for m in moves for i in (0, len(by))}
-    emptied: set[Row] = set()
-    among = F.coalesce(_in_partitions(sorted(rewritten, key=str), by), F.lit(False))
+        return []
+    searched = target.filter(_in_partitions(incoming, by)) if partitions_follow_keys else target
+    matches = match_table(searched, load, keys, update_if=update_if, by=by)
+    old, new = [f"_old_{c}" for c in by], [f"_new_{c}" for c in by]
+    moves = matches.filter("_takes").groupBy(*old, *new).agg(F.count("*").alias("_moved")).collect()
+    may_move = not partitions_follow_keys and bool(set(by) & set(update_cols))
+    width = len(by)
+    rewritten = {_part(m[:width], by) for m in moves}
+    if may_move:
+        rewritten |= {_part(m[width : 2 * width], by) for m in moves}
     if rewritten:
-        held = target.filter(_in_partitions(sorted(rewritten, key=str), by))
-        result = upsert(held, load.filter(among), keys, **options)
-        if not partitions_follow_keys and (update_cols is None or set(by) & set(update_cols)):
-            emptied = _left_partitions(target, moves, by)
-            # Only a partition of the load can be filled again.
-            again = sorted(emptied & incoming, key=str)
-            if again:
-                refilled = result.filter(_in_partitions(again, by)).select(*by).distinct().collect()
-                emptied -= set(refilled)
-        overwrite_partitions(result, path, by)
-    if incoming - rewritten:
-        empty = from_rows(spark, [], schema)
-        write_partitioned(upsert(empty, load.filter(~among), keys, **options), path, by)
-    if emptied:
-        clear_partitions(spark, path, schema, by, sorted(emptied, key=str))
-
-
-def _matched_partitions(
-    target: DataFrame, load: DataFrame, keys: Sequence[str], by: Sequence[str], update_if: Condition
-) -> list[Row]:
-    """``(old partition.., partition in the load.., n)`` of the target rows the load has,
-    ``n`` of them updated."""
-    # A condition may name any column, in any spelling; Spark reads those it needs.
-    wanted = target.select(*dict.fromkeys([*keys, *by])) if update_if is None else target
-    found = wanted.filter(_key_range(load, keys)).alias("target")
-    same_key = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
-    return (
-        found.join(load.alias("source"), same_key)
-        .select(
-            *(F.col(f"target.{c}").alias(f"_old_{c}") for c in by),
-            *(F.col(f"source.{c}").alias(f"_new_{c}") for c in by),
-            _condition(update_if).alias("_moves"),
-        )
-        .groupBy(*(f"_old_{c}" for c in by), *(f"_new_{c}" for c in by))
-        .agg(F.count_if("_moves").alias("_moved"))
-        .collect()
-    )
+        emptied = _left_partitions(target, moves, by) if may_move else set()
+        held = target.filter(_in_partitions(_in_order(rewritten), by))
+        changes = load.join(matches.filter("_takes").select(*keys), list(keys), "left_semi")
+        overwrite_partitions(_updated(held, changes, keys, update_if, update_cols), path, by)
+        if emptied:
+            clear_partitions(spark, path, schema, by, _in_order(emptied))
+
+    fresh = load.join(matches.select(*keys), list(keys), "left_anti")
+    if known_by:
+        # Read anew: files of the partitions just replaced are gone.
+        now = read_table(spark, path, schema).filter(~_complete(keys))
+        now = now.filter(_in_partitions(incoming, by)) if partitions_follow_keys else now
+        nameless = _without_known(fresh.filter(~_complete(keys)), now, known_by)
+        fresh = fresh.filter(_complete(keys)).unionByName(nameless)
+    appended = write_partitioned(_as_new(fresh, schema, insert_if, insert_cols), path, by)
+    return _in_order(rewritten | set(appended))
+
+
+def _part(values: Sequence, by: Sequence[str]) -> Row:
+    return Row(**dict(zip(by, values)))
+
+
+def _in_order(parts: set[Row]) -> list[Row]:
+    return sorted(parts, key=lambda p: [(v is not None, v) for v in p])
 
 
 def _left_partitions(target: DataFrame, moves: Sequence[Row], by: Sequence[str]) -> set[Row]:
-    """Partitions that all their rows leave for another one."""
-    moved: dict[tuple, int] = defaultdict(int)
+    """Partitions that all their rows leave, and none moves to."""
+    leaving: dict[tuple, int] = defaultdict(int)
+    reached = set()
     for m in moves:
-        old, new = tuple(m)[: len(by)], tuple(m)[len(by) : -1]
-        if old != new and m[-1]:
-            moved[old] += m[-1]
-    if not moved:
+        old, new = tuple(m)[: len(by)], tuple(m)[len(by) : 2 * len(by)]
+        reached.add(new)
+        if old != new:
+            leaving[old] += m["_moved"]
+    left = {p: n for p, n in leaving.items() if p not in reached}
+    if not left:
         return set()
-    parts = [Row(**dict(zip(by, p))) for p in moved]
+    parts = [_part(p, by) for p in left]
     held = target.filter(_in_partitions(parts, by)).groupBy(*by).count().collect()
-    return {Row(**dict(zip(by, tuple(h)[:-1]))) for h in held if moved[tuple(h)[:-1]] == h[-1]}
+    return {_part(h[:-1], by) for h in held if left[tuple(h)[:-1]] == h[-1]}

@@ -27,7 +27,7 @@ from ..schemas import (
     VALID,
 )
 from ..scratch import scratch_dir
-from ..sinks import write_partitioned
+from ..sinks import observed, write_partitioned
 from ..sources import missing_json_columns, read_json_lines, read_table, table_exists
 from .metrics import BRONZE_METRICS, one_row
 
@@ -70,9 +70,10 @@ def to_bronze(
 ) -> DataFrame:
     """Load one landed file; returns its metrics.
 
-    The file is parsed once, into a staged table. Valid records are upserted,
-    unreadable lines are added to the quarantine table before, once per file and text,
-    so that a repeated load adds nothing. A file that lacks a required column gives
+    The file is parsed once, into a staged table. Valid records are upserted; one without
+    a complete key is known by all that was landed of it. Unreadable lines are added to the
+    quarantine table before, once per file and text. So a repeated load adds nothing.
+    ``particoes`` lists the partitions that the load changed. A file that lacks a required column gives
     status INVALID and writes nothing. Any failure gives status ERROR; a load that fails
     while it is stored can be repeated.
     """
@@ -105,7 +106,7 @@ def to_bronze(
             )
             .write.parquet(staged_path)
         )
-        counts = seen.get
+        counts = {"records_processed": 0, "valid_records": 0, "invalid_records": 0} | observed(seen)
         staged = read_table(spark, staged_path, QUARANTINE)
         if counts["invalid_records"]:
             unreadable = staged.filter(~valid)
@@ -114,7 +115,7 @@ def to_bronze(
                 unreadable = unreadable.join(known, ["source_file", CORRUPT], "left_anti")
                 unreadable = unreadable.select(*QUARANTINE.names)
             write_partitioned(unreadable, quarantine_path, BRONZE_PARTITIONS)
-        upsert_table(
+        written = upsert_table(
             staged.filter(valid).drop(CORRUPT),
             bronze_path,
             BRONZE,
@@ -122,7 +123,12 @@ def to_bronze(
             BRONZE_PARTITIONS,
             partitions_follow_keys=False,
             keep_first=keep_first,
+            null_keys="match",
+            identity=LANDING.names,
         )
     except (PySparkException, Py4JError) as error:
         return result(FILE_ERROR, records_processed=0, error_message=f"Falha ao carregar o arquivo: {error}")
-    return result(FILE_PROCESSED, **counts, ano=partition_date.year, mes=partition_date.month)
+    particoes = [f"{part.ano_particao}-{part.mes_particao:02d}" for part in written]
+    return result(
+        FILE_PROCESSED, **counts, ano=partition_date.year, mes=partition_date.month, particoes=particoes
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.calendar import expand_rules, merge_same_day
 from ..schemas import LANDING, SUCCESS, TIPO_NATIONAL, TIPO_STATE
-from ..sinks import write_json
+from ..sinks import observed, write_json
 from .metrics import LANDING_METRICS, one_row
 
 
@@ -58,7 +58,7 @@ def extract(
     return one_row(
         rules.sparkSession,
         LANDING_METRICS,
-        **seen.get,
+        **{"total_records": 0, "national_holidays": 0, "state_holidays": 0} | observed(seen),
         status=SUCCESS,
         processing_time_seconds=time.perf_counter() - started,
         file_path=path,

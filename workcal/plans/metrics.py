@@ -15,7 +15,7 @@ LANDING_METRICS = columns(
 
 BRONZE_METRICS = columns(
     "status string, records_processed bigint, valid_records bigint, invalid_records bigint, "
-    "processing_time_seconds double, error_message string, ano int, mes int"
+    "processing_time_seconds double, error_message string, ano int, mes int, particoes array<string>"
 )
 
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import clean, conform, one_per_holiday
@@ -16,6 +16,7 @@ from ..operators.quality import HOLIDAY_RULES, Rule, apply_rules, metric_columns
 from ..operators.upsert import upsert_table
 from ..schemas import BRONZE, ERROR, HOLIDAY_KEY, PARTIAL, SILVER, SUCCESS
 from ..scratch import scratch_dir
+from ..sinks import observed
 from ..sources import read_table
 from .metrics import one_row, silver_metrics_schema
 
@@ -29,6 +30,8 @@ SILVER_UPDATES = (
     "validation_errors",
     "last_updated",
 )
+# What a record without a complete key is known by.
+SILVER_RECORD = ("data", "nome", "tipo", "estado", "dt_processamento", "dt_carga", "validation_errors")
 
 
 def validated_rows(
@@ -49,7 +52,7 @@ def silver_rows(
     return validated_rows(bronze, load_ts, rules).select(*SILVER.names)
 
 
-def to_silver(
+def load_silver(
     spark: SparkSession,
     bronze_path: str,
     silver_path: str,
@@ -57,11 +60,11 @@ def to_silver(
     *,
     rules: Sequence[Rule] = HOLIDAY_RULES,
     dt_carga: str | None = None,
-) -> DataFrame:
-    """Bring bronze into silver; returns the run's metrics.
+) -> tuple[DataFrame, list[Row]]:
+    """Bring bronze into silver; returns the run's metrics and the partitions it changed.
 
     All of bronze is taken, or the rows of one load (``dt_carga``). The metrics
-    are observed on the one write of the processed rows.
+    are observed on the one write of the processed rows. A repeated load adds nothing.
     """
     started = time.perf_counter()
     names = [r.name for r in rules]
@@ -87,10 +90,10 @@ def to_silver(
             .select(*SILVER.names)
             .write.parquet(staged_path)
         )
-        counts = seen.get
-        if not counts["total_records"]:
-            return result(ERROR, error_message="Nenhum registro em bronze")
-        upsert_table(
+        counts = observed(seen)
+        if not counts.get("total_records"):
+            return result(ERROR, error_message="Nenhum registro em bronze"), []
+        changed = upsert_table(
             read_table(spark, staged_path, SILVER),
             silver_path,
             SILVER,
@@ -100,11 +103,26 @@ def to_silver(
             update_if=f"source.status_processamento = '{SUCCESS}'",
             update_cols=SILVER_UPDATES,
             single_keys=True,
+            null_keys="match",
+            identity=SILVER_RECORD,
         )
     except (PySparkException, Py4JError) as error:
-        return result(ERROR, error_message=f"Falha ao processar silver: {error}")
+        return result(ERROR, error_message=f"Falha ao processar silver: {error}"), []
     if not counts["error_records"]:
         status = SUCCESS
     else:
         status = PARTIAL if counts["successful_records"] else ERROR
-    return result(status, **counts)
+    return result(status, **counts), changed
+
+
+def to_silver(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    load_ts: dt.datetime,
+    *,
+    rules: Sequence[Rule] = HOLIDAY_RULES,
+    dt_carga: str | None = None,
+) -> DataFrame:
+    """``load_silver`` for its metrics alone."""
+    return load_silver(spark, bronze_path, silver_path, load_ts, rules=rules, dt_carga=dt_carga)[0]

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import one_row_per_key, upsert, upsert_table
+from ..operators.upsert import match_table, one_row_per_key, upsert, upsert_table
 from ..plans import bronze_rows, extract, landing_path, run_report, to_bronze, to_gold, to_silver
 from ..plans.bronze import QUARANTINE
 from ..schemas import BRONZE, GOLD, REQUIRED_COLUMNS, columns
@@ -203,13 +203,10 @@ WHERE in_target OR {insert_if}"""
 def upsert_valid_only(spark: SparkSession, sf: str) -> DataFrame:
     """Valid rows replace or join the table; others change nothing."""
     valid = "source.status = 'VALID'"
+    target, load = _target(spark, sf), _load(spark, sf)
+    matches = match_table(target, load, _KEYS, update_if=valid)
     return upsert(
-        _target(spark, sf),
-        _load(spark, sf),
-        _KEYS,
-        update_if=valid,
-        insert_if=valid,
-        single_keys=True,
+        target, load, _KEYS, update_if=valid, insert_if=valid, single_keys=True, matches=matches
     )
 
 
@@ -220,14 +217,16 @@ _INSERTED = ("pedido", "fila", "data", "valor", "situacao", "status")
 @query(i.sql(_UPSERT_PARTS, _merge_sql(_UPDATED, _INSERTED, "true")))
 def upsert_partial_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Valid rows update two columns; every new row is inserted, without one column."""
+    target, load, valid = _target(spark, sf), _load(spark, sf), "source.status = 'VALID'"
     return upsert(
-        _target(spark, sf),
-        _load(spark, sf),
+        target,
+        load,
         _KEYS,
-        update_if="source.status = 'VALID'",
+        update_if=valid,
         update_cols=_UPDATED,
         insert_cols=_INSERTED,
         single_keys=True,
+        matches=match_table(target, load, _KEYS, update_if=valid),
     )
 
 
@@ -318,7 +317,7 @@ _ONE_PER_KEY = """QUALIFY row_number() OVER (PARTITION BY data, estado, dt_carga
 FROM (
   SELECT * FROM readable WHERE data IS NOT NULL AND estado IS NOT NULL {_ONE_PER_KEY}
   UNION ALL
-  SELECT readable.* FROM readable, range(2) WHERE data IS NULL OR estado IS NULL)
+  SELECT * FROM readable WHERE data IS NULL OR estado IS NULL)
 UNION ALL
 SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'INVALID', 2024, 3
 FROM raw WHERE {_CUT}""",
@@ -326,7 +325,7 @@ FROM raw WHERE {_CUT}""",
 )
 def bronze_load(spark: SparkSession, sf: str) -> DataFrame:
     """One file loaded twice: complete keys match and stay single; records without a
-    complete key match nothing and come again; unreadable lines go to quarantine once."""
+    complete key are known again and all there once; unreadable lines go to quarantine once."""
     landed = _landed(spark, sf)
     bronze, quarantine = scratch_dir(spark, "bronze"), scratch_dir(spark, "quarantine")
     order = ["nome", "tipo", "dt_processamento"]

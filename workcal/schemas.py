@@ -12,6 +12,7 @@ _TYPES = {
     "double": T.DoubleType(),
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
 }
 
 
@@ -62,6 +63,9 @@ SUCCESS = "SUCESSO"
 ERROR = "ERRO"
 PARTIAL = "PARCIAL"
 
+# Status of a layer that was not run because the one before it failed.
+SKIPPED = "IGNORADO"
+
 # Record validity in bronze, and the status of one landed file.
 VALID = "VALID"
 INVALID = "INVALID"

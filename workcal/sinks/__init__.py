@@ -1,5 +1,6 @@
 """Writers."""
 from .files import (
+    observed,
     overwrite_partitions,
     remove_folder,
     write_csv,
@@ -8,6 +9,7 @@ from .files import (
 )
 
 __all__ = [
+    "observed",
     "overwrite_partitions",
     "remove_folder",
     "write_csv",

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -23,10 +25,24 @@ def _sized(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
+def observed(seen: Observation) -> dict:
+    """What was observed during a write that has ended; nothing where Spark found the plan
+    to be empty and so never ran the observation."""
+    try:
+        return seen.get
+    except Py4JError:
+        return {}
+
+
 def write_partitioned(
     df: DataFrame, path: str, by: Sequence[str], *, mode: str = "append"
-) -> None:
-    _sized(df, by).write.mode(mode).partitionBy(*by).parquet(path)
+) -> list[Row]:
+    """Returns the partitions that rows went to, gathered during the write itself."""
+    seen = Observation()
+    watched = df.observe(seen, F.collect_set(F.struct(*by)).alias("parts"))
+    _sized(watched, by).write.mode(mode).partitionBy(*by).parquet(path)
+    parts = (tuple(part) for part in observed(seen).get("parts", []))
+    return [Row(**dict(zip(by, part))) for part in sorted(parts, key=lambda p: [(v is not None, v) for v in p])]
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
