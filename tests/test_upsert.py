@@ -4,7 +4,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from workcal.operators.upsert import clear_partitions, upsert, upsert_table
+from workcal.operators.upsert import clear_partitions, match_table, upsert, upsert_table
 from workcal.schemas import columns
 from workcal.sources import from_rows, read_table
 from workcal.sinks import write_partitioned
@@ -125,6 +125,46 @@ def test_applying_a_load_twice_changes_nothing_more(spark):
     assert _rows(upsert(once, source, ["k"])) == _rows(once)
 
 
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("null_keys", ["insert", "match"])
+def test_match_table_gives_the_same_rows(spark, seed, null_keys):
+    """Both forms of the operator, on repeated target keys and NULLs everywhere."""
+    pick = random.Random(seed)
+    target = [(pick.choice([None, 7, 7, *range(30)]), pick.choice([None, "a", "b"]), f"t{n % 9}") for n in range(300)]
+    source = {(pick.choice([None, *range(45)]), pick.choice([None, "a", "b"])): f"{pick.choice('st')}{n % 9}" for n in range(90)}
+    schema = columns("a int, b string, v string")
+    t, s = from_rows(spark, target, schema), from_rows(spark, [(*k, v) for k, v in source.items()], schema)
+    for condition in (None, "source.v > target.v"):
+        options = dict(update_if=condition, insert_if="source.v <> 's3'", null_keys=null_keys, identity=["a", "b", "v"])
+        matches = match_table(t, s, ["a", "b"], update_if=condition)
+        got = upsert(t, s, ["a", "b"], single_keys=True, matches=matches, **options)
+        assert _rows(got) == _rows(upsert(t, s, ["a", "b"], **options))
+
+
+def test_target_is_read_once_with_a_match_table(spark, plan, tmp_path):
+    schema = columns("k int, v string, pad string")
+    spark.range(1000).selectExpr("int(id) k", "string(id) v", "uuid() pad").write.parquet(f"{tmp_path}/t")
+    spark.range(900, 1900).selectExpr("int(id) k", "string(id) v", "uuid() pad").write.parquet(f"{tmp_path}/s")
+    target, load = (read_table(spark, f"{tmp_path}/{n}", schema) for n in "ts")
+    matches = match_table(target, load, ["k"])
+    assert matches.columns == ["k", "_takes"] and matches.count() == 100
+    result = upsert(target, load, ["k"], single_keys=True, matches=matches)
+    assert plan(result).count(f"{tmp_path}/t]") == 1
+    assert result.count() == 1900
+
+
+def test_incomplete_keys_are_known_again(spark):
+    schema = columns("k int, v string")
+    once = [(None, "a"), (None, "a"), (None, None), (1, "b")]
+    target = upsert(from_rows(spark, [], schema), from_rows(spark, once, schema), ["k"], null_keys="match", identity=["k", "v"])
+    assert _rows(target) == _sorted(once)
+    again = from_rows(spark, [*once, (None, "new")], schema)
+    got = upsert(target, again, ["k"], null_keys="match", identity=["k", "v"])
+    assert _rows(got) == _sorted([*once, (None, "new")])
+    with pytest.raises(ValueError):
+        upsert(target, again, ["k"], null_keys="equal")
+
+
 # --- stored tables -----------------------------------------------------------
 
 PART = columns("k int, v string, ano int, mes int")
@@ -283,3 +323,41 @@ def test_random_moves(spark, tmp_path, seed):
         if r[0] not in merged or r[3] == 1:
             merged[r[0]] = r
     assert _stored(spark, path) == _sorted(merged.values())
+
+
+def test_load_without_an_update_rewrites_nothing(spark, tmp_path):
+    """Every row of the load matches and fails ``update_if``."""
+    path = tmp_path / "t"
+    _put(spark, str(path), [(1, "a", 2024, 1), (2, "b", 2024, 2)])
+    before = _files(path)
+    load = from_rows(spark, [(1, "x", 2024, 2), (2, "y", 2024, 2)], PART)
+    touched = upsert_table(load, str(path), PART, ["k"], BY, partitions_follow_keys=False, update_if="source.v > 'z'")
+    assert touched == [] and _files(path) == before
+
+
+def test_partitions_changed_are_returned(spark, tmp_path):
+    path = f"{tmp_path}/t"
+
+    def put(rows, **options):
+        load = from_rows(spark, rows, PART)
+        return [tuple(p) for p in upsert_table(load, path, PART, ["k"], BY, partitions_follow_keys=False, **options)]
+
+    assert put([(1, "a", 2024, 1), (2, "b", None, 2)]) == [(None, 2), (2024, 1)]
+    assert put([(3, "c", 2025, 7)]) == [(2025, 7)]
+    # Row 1 moves and leaves its partition empty; row 9 is new.
+    assert put([(1, "A", 2025, 7), (9, "n", 2023, 1)]) == [(2023, 1), (2024, 1), (2025, 7)]
+    assert put([]) == []
+
+
+@pytest.mark.parametrize("follow", [True, False])
+def test_stored_load_with_incomplete_keys_can_be_repeated(spark, tmp_path, follow):
+    path, schema = f"{tmp_path}/t", columns("k int, v string, ano int")
+    rows = [(None, "a", 2024), (None, "a", 2024), (None, None, None), (None, "b", None), (5, "c", 2024)]
+
+    def put(more=()):
+        load = from_rows(spark, [*rows, *more], schema)
+        upsert_table(load, path, schema, ["k"], ["ano"], partitions_follow_keys=follow, null_keys="match", identity=["k", "v"])
+        return _rows(read_table(spark, path, schema))
+
+    assert put() == put() == put() == _sorted(rows)
+    assert put([(None, "d", 2024)]) == _sorted([*rows, (None, "d", 2024)])

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +19,8 @@ from ..operators.workdays import (
     workday_flags,
     workday_profile,
 )
-from ..plans.gold import create_views, view_name
+from ..plans.gold import create_report_function
+from ..schemas import REPORT_FUNCTION
 from ..scratch import stage
 from ..sources import group_spine
 from . import inputs as i
@@ -184,17 +183,15 @@ def region_status(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(MONTHLY_SQL)
 def workday_views(spark: SparkSession, sf: str) -> DataFrame:
-    """All months through the session views of each region and year, over a stored report."""
+    """All months of a stored report, through its table function of region and year: one scan."""
     first, last = span = i.years(spark, sf)
     monthly = stage(monthly_workdays(i.region_days(spark, sf, span), ["regiao"]), "monthly")
-    regions = [r.regiao for r in i.states(spark, sf).select("regiao").distinct().collect()]
-    for year in range(first, last + 1):
-        create_views(monthly, regions, year)
-    views = [
-        spark.sql(f"SELECT * FROM {view_name(r, year)} ORDER BY mes")
-        for r in regions for year in range(first, last + 1)
-    ]
-    return reduce(DataFrame.unionByName, views, monthly.limit(0))
+    create_report_function(monthly)
+    groups = i.states(spark, sf).select("regiao").distinct().withColumn(
+        "ano", F.explode(F.sequence(F.lit(first), F.lit(last)))
+    )
+    groups.createOrReplaceTempView("grupos")
+    return spark.sql(f"SELECT d.* FROM grupos g, LATERAL {REPORT_FUNCTION}(g.regiao, g.ano) d")
 
 
 _DAYS = """days AS (

@@ -5,16 +5,18 @@ These write below the session's shared scratch folder and read back.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.upsert import match_table, one_row_per_key, upsert, upsert_table
-from ..plans import bronze_rows, extract, landing_path, run_report, to_bronze, to_gold, to_silver
-from ..plans.bronze import QUARANTINE
-from ..schemas import BRONZE, GOLD, REQUIRED_COLUMNS, columns
+from ..plans import LakePaths, bronze_rows, load_silver, run_lake, to_bronze, update_newest
+from ..plans.bronze import BRONZE_PARTITIONS, QUARANTINE
+from ..schemas import BRONZE, GOLD, REQUIRED_COLUMNS, SILVER, columns
 from ..scratch import scratch_dir, stage
 from ..sinks import write_csv, write_partitioned
-from ..sources import json_columns_seen, read_csv, read_json_lines, read_table
+from ..sources import in_partitions, json_columns_seen, read_csv, read_json_lines, read_table
 from . import inputs as i
 from .calendar_queries import MONTHLY_SQL
 from .registry import query
@@ -39,6 +41,20 @@ def year_filter_pruned(spark: SparkSession, sf: str) -> DataFrame:
     return _partitioned_orders(spark, sf, "orders", "ano", "mes").filter(F.col("ano") == 1997)
 
 
+@query(
+    """SELECT *, CAST(year(o_orderdate) AS INT) AS ano, CAST(month(o_orderdate) AS INT) AS mes
+FROM orders WHERE year(o_orderdate) IN (
+  SELECT year(o_orderdate) FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'F') >= count(*) / 3.0)"""
+)
+def year_set_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """The years with a third of their orders finished, from a table of years that is itself
+    computed: only the files of those years are read."""
+    stored = _partitioned_orders(spark, sf, "orders", "ano", "mes")
+    finished = F.count_if(F.col("o_orderstatus") == "F")
+    years = stored.groupBy("ano").agg((finished / F.count("*")).alias("part")).filter(F.col("part") >= 1 / 3)
+    return in_partitions(stored, stage(years.select("ano"), "years"))
+
+
 @query(
     """SELECT CAST(year(o_orderdate) AS INT) AS ano_particao,
   CAST(month(o_orderdate) AS INT) AS mes_particao, count(*) AS records_processed
@@ -338,29 +354,22 @@ def bronze_load(spark: SparkSession, sf: str) -> DataFrame:
     return kept.unionByName(set_aside).drop("source_file", "bronze_ingestion_tsp")
 
 
-def _run_lake(spark: SparkSession, sf: str) -> tuple[DataFrame, ...]:
-    """All layers in a fresh folder; returns their metrics and the gold table."""
-    base, (first, last) = scratch_dir(spark, "lake"), i.years(spark, sf)
-    landed = extract(i.rules(spark, sf), first, last, f"{base}/landing", i.LOAD_TS)
-    bronze = to_bronze(
-        spark,
-        landing_path(f"{base}/landing", i.LOAD_TS),
-        f"{base}/bronze",
-        f"{base}/quarantine",
-        i.LOAD_DATE,
-        i.LOAD_TS,
+def _run_lake(spark: SparkSession, sf: str, **options) -> tuple[DataFrame, LakePaths]:
+    """All layers in a fresh folder; returns the report and where the tables are."""
+    paths, (first, last) = LakePaths.below(scratch_dir(spark, "lake")), i.years(spark, sf)
+    report = run_lake(
+        spark, i.rules(spark, sf), i.states(spark, sf), paths, i.LOAD_TS, first, last, **options
     )
-    silver = to_silver(spark, f"{base}/bronze", f"{base}/silver", i.LOAD_TS)
-    regions = to_gold(
-        spark, f"{base}/silver", f"{base}/gold", i.states(spark, sf), first, i.LOAD_TS, last_year=last
-    )
-    return landed, bronze, silver, regions, read_table(spark, f"{base}/gold", GOLD)
+    return report, paths
 
 
 @query(MONTHLY_SQL)
 def medallion_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     """Rules -> landing -> bronze -> silver -> gold of all years."""
-    return _run_lake(spark, sf)[-1].drop("dt_processamento")
+    return read_table(spark, _run_lake(spark, sf)[1].gold, GOLD).drop("dt_processamento")
+
+
+_DATE = f"TIMESTAMP '{i.LOAD_TS}' AS execution_date"
 
 
 @query(
@@ -369,18 +378,67 @@ def medallion_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
         f"""SELECT camada, 'total' AS item, CAST(NULL AS INT) AS ano, 'SUCESSO' AS status, count(*) AS total_records,
   count(*) FILTER (tipo = 'Nacional' AND camada = 'landing') AS national_holidays,
   count(*) FILTER (tipo = 'Estadual' AND camada = 'landing') AS state_holidays,
-  NULL AS successful_records, NULL AS error_records, NULL AS total_holidays, NULL AS working_days
+  NULL AS successful_records, NULL AS error_records, NULL AS total_holidays, NULL AS working_days,
+  CAST(NULL AS BIGINT) AS regions_processed, true AS timed, CAST(NULL AS VARCHAR) AS error_message, {_DATE}
 FROM calendar, (SELECT 'landing' AS camada) GROUP BY camada
 UNION ALL
 SELECT camada, 'total', NULL, CASE camada WHEN 'bronze' THEN 'PROCESSED' ELSE 'SUCESSO' END, count(*),
-  NULL, NULL, count(*), CAST(0 AS BIGINT), NULL, NULL
+  NULL, NULL, count(*), CAST(0 AS BIGINT), NULL, NULL, NULL, true, NULL, {_DATE}
 FROM calendar, (SELECT unnest(['bronze', 'silver']) AS camada) GROUP BY camada
 UNION ALL
+SELECT 'gold', 'total', NULL, 'SUCESSO', NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  count(DISTINCT regiao), true, NULL, {_DATE}
+FROM joined
+UNION ALL
 SELECT 'gold', regiao, ano, 'SUCESSO', NULL, NULL, NULL, NULL, NULL,
-  CAST(sum(is_holiday) AS BIGINT), CAST(sum(dia_util) AS BIGINT)
+  CAST(sum(is_holiday) AS BIGINT), CAST(sum(dia_util) AS BIGINT), NULL, false, NULL, {_DATE}
 FROM joined GROUP BY regiao, ano""",
     )
 )
 def lake_run_report(spark: SparkSession, sf: str) -> DataFrame:
-    """One line per layer, and per region and year, of a whole run."""
-    return run_report(*_run_lake(spark, sf)[:4])
+    """One line per layer, and per region and year, of a whole gated run."""
+    timed = F.coalesce(F.col("processing_time_seconds") > 0, F.lit(False))
+    report = _run_lake(spark, sf)[0].withColumn("timed", timed).drop("processing_time_seconds")
+    return report.withColumn("execution_date", F.col("execution_date").cast("timestamp_ntz"))
+
+
+@query(MONTHLY_SQL)
+def gold_after_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Two gated loads, the second of the last year alone: newest states and gold are brought
+    up to date for what each load changed, and gold is as if computed at once."""
+    paths, (first, last) = LakePaths.below(scratch_dir(spark, "lake")), i.years(spark, sf)
+    rules, states = i.rules(spark, sf), i.states(spark, sf)
+    for moment, since in ((i.LOAD_TS, first), (i.LOAD_TS + dt.timedelta(days=31), last)):
+        run_lake(spark, rules, states, paths, moment, since, last, incremental=True)
+    return read_table(spark, paths.gold, GOLD).drop("dt_processamento")
+
+
+@query(
+    i.sql(
+        i.CLEAN_PARTS,
+        """SELECT data, estado, dt_carga, nome, tipo FROM cleaned WHERE data IS NOT NULL AND estado IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY data, estado
+  ORDER BY dt_carga DESC, nome NULLS FIRST, tipo NULLS FIRST) = 1""",
+    )
+)
+def newest_state_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw records come into silver load by load; each load brings the stored newest
+    states up to date, which then are those of the whole history."""
+    paths = LakePaths.below(scratch_dir(spark, "lake"))
+    records = i.raw_records(spark, sf).withColumns(
+        {
+            "source_file": F.lit("feed"),
+            "bronze_ingestion_tsp": F.lit(i.LOAD_TS),
+            "status_processamento": F.lit("VALID"),
+            "ano_particao": F.lit(i.LOAD_DATE.year),
+            "mes_particao": F.lit(i.LOAD_DATE.month),
+        }
+    )
+    write_partitioned(records.select(*BRONZE.names), paths.bronze, BRONZE_PARTITIONS)
+    stored = read_table(spark, paths.bronze, BRONZE)
+    loads = [row.dt_carga for row in stored.select("dt_carga").distinct().orderBy("dt_carga").collect()]
+    for k, load in enumerate(loads):
+        moment = i.LOAD_TS + dt.timedelta(days=k)
+        _, changed = load_silver(spark, paths.bronze, paths.silver, moment, dt_carga=load)
+        update_newest(spark, paths.silver, paths.newest, moment, changed)
+    return read_table(spark, paths.newest, SILVER).select("data", "estado", "dt_carga", "nome", "tipo")

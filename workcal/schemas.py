@@ -81,6 +81,9 @@ TIPO_STATE = "Estadual"
 # Start of the message for a region without valid holidays.
 NO_HOLIDAYS = "Sem dados válidos para região "
 
+# The name users query the monthly rows of a region and year by, as a table function.
+REPORT_FUNCTION = "dias_uteis"
+
 # Data source recorded in silver.
 SOURCE_NAME = "API_HOLIDAYS"
 

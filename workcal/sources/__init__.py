@@ -1,6 +1,7 @@
 """Readers and generated tables."""
 from .files import (
     from_rows,
+    in_partitions,
     json_columns_seen,
     missing_json_columns,
     read_csv,
@@ -14,6 +15,7 @@ __all__ = [
     "date_spine",
     "from_rows",
     "group_spine",
+    "in_partitions",
     "json_columns_seen",
     "missing_json_columns",
     "read_csv",

@@ -99,6 +99,18 @@ def read_table(
     return reader.schema(schema).load(path).select(*schema.names)
 
 
+def in_partitions(table: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of a partitioned table whose partition is listed in ``wanted``.
+
+    The columns of ``wanted`` are partition columns. A list that Spark measures to be small
+    prunes the scan while the query runs (dynamic partition pruning): files of other
+    partitions are not opened. NULL partitions are in no list.
+    """
+    # The planner prunes by a list with a comparison on it; this one holds for every value.
+    listed = wanted.filter(F.col(wanted.columns[0]).cast("string") >= "")
+    return table.join(listed, wanted.columns, "left_semi")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when there is a folder or file at ``path``, on whatever file system it names."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
