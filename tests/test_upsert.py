@@ -127,7 +127,7 @@ def test_applying_a_load_twice_changes_nothing_more(spark):
 
 @pytest.mark.parametrize("seed", range(2))
 @pytest.mark.parametrize("null_keys", ["insert", "match"])
-def test_match_table_gives_the_same_rows(spark, seed, null_keys):
+def test_large_load_gives_the_same_rows(spark, seed, null_keys):
     """Both forms of the operator, on repeated target keys and NULLs everywhere."""
     pick = random.Random(seed)
     target = [(pick.choice([None, 7, 7, *range(30)]), pick.choice([None, "a", "b"]), f"t{n % 9}") for n in range(300)]
@@ -136,23 +136,31 @@ def test_match_table_gives_the_same_rows(spark, seed, null_keys):
     t, s = from_rows(spark, target, schema), from_rows(spark, [(*k, v) for k, v in source.items()], schema)
     for condition in (None, "source.v > target.v"):
         options = dict(update_if=condition, insert_if="source.v <> 's3'", null_keys=null_keys, identity=["a", "b", "v"])
-        matches = match_table(t, s, ["a", "b"], update_if=condition)
-        got = upsert(t, s, ["a", "b"], single_keys=True, matches=matches, **options)
+        got = upsert(t, s, ["a", "b"], single_keys=True, large_load=True, **options)
         assert _rows(got) == _rows(upsert(t, s, ["a", "b"], **options))
 
 
-def test_target_is_read_once_with_a_match_table(spark, plan, tmp_path):
+def test_large_load_reads_the_other_columns_of_the_target_once(spark, plan, tmp_path):
     schema = columns("k int, v string, pad string")
     spark.range(1000).selectExpr("int(id) k", "string(id) v", "uuid() pad").write.parquet(f"{tmp_path}/t")
     spark.range(900, 1900).selectExpr("int(id) k", "string(id) v", "uuid() pad").write.parquet(f"{tmp_path}/s")
     target, load = (read_table(spark, f"{tmp_path}/{n}", schema) for n in "ts")
-    matches = match_table(target, load, ["k"])
-    assert matches.columns == ["k", "_takes"] and matches.count() == 100
-    result = upsert(target, load, ["k"], single_keys=True, matches=matches)
-    assert plan(result).count(f"{tmp_path}/t]") == 1
+    result = upsert(target, load, ["k"], single_keys=True, large_load=True)
+    scans = [line for line in plan(result).splitlines() if f"{tmp_path}/t]" in line]
+    assert sorted("pad#" in line for line in scans) == [False, True]
     assert result.count() == 1900
 
 
+def test_match_table(spark, tmp_path):
+    """Only keys, partitions and what the condition names are read."""
+    schema = columns("k int, v string, ano int")
+    target = from_rows(spark, [(1, "a", 2023), (1, "z", 2024), (2, "b", 2024), (None, "c", 2024), (3, "d", 2024)], schema)
+    load = from_rows(spark, [(1, "m", 2025), (2, "a", 2024), (None, "x", 2024), (9, "n", 2025)], schema)
+    found = match_table(target, load, ["k"], update_if="source.v > target.v", by=["ano"])
+    assert found.columns == ["k", "_old_ano", "_new_ano", "_takes"]
+    assert _rows(found) == [(1, 2023, 2025, True), (1, 2024, 2025, False), (2, 2024, 2024, False)]
+
+
 def test_incomplete_keys_are_known_again(spark):
     schema = columns("k int, v string")
     once = [(None, "a"), (None, "a"), (None, None), (1, "b")]

@@ -82,10 +82,11 @@ def _updated(
 ) -> DataFrame:
     """``target`` with ``update_cols`` taken from ``source`` where the keys agree and ``update_if`` holds."""
     same_key = [F.col(f"target.{k}") == F.col(f"source.{k}") for k in keys]
-    take = F.coalesce(F.col("_hit"), F.lit(False)) & _condition(update_if)
+    # A key that was found is not NULL, so no mark is needed beside it.
+    take = F.col(f"source.{keys[0]}").isNotNull() & _condition(update_if)
     return (
         target.alias("target")
-        .join(source.withColumn("_hit", F.lit(True)).alias("source"), same_key, "left")
+        .join(source.alias("source"), same_key, "left")
         .select(
             *(
                 F.when(take, F.col(f"source.{c}")).otherwise(F.col(f"target.{c}")).alias(c)
@@ -146,7 +147,7 @@ def upsert(
     single_keys: bool = False,
     null_keys: str = "insert",
     identity: Sequence[str] | None = None,
-    matches: DataFrame | None = None,
+    large_load: bool = False,
 ) -> DataFrame:
     """``target`` after the load ``source``, with the columns of ``target``.
 
@@ -163,14 +164,14 @@ def upsert(
     order in which the first of them is taken. ``single_keys`` says that there are
     none. The source is read for updates and for inserts: stage one that is costly.
 
-    ``matches`` is the ``match_table`` of target and source, made with the same condition.
-    It suits a large load: the target is read once, in one left join with the source rows
-    that change something, and the inserts are the source rows that it lacks.
-
-    Without it, the work is a left join for the updates and, for the inserts, an anti join
+    The work is a left join for the updates and, for the inserts, an anti join
     with the keys both sides have, rather than one full outer join: a small load can be
     broadcast to the target, which is then not shuffled, and a repeated target key
     can be split. Rows with a NULL key take part in no join on keys.
+
+    ``large_load`` is the form for a load that is too large to be broadcast: the target is
+    read and shuffled once with all its columns and once with its keys alone, the load once
+    for updates and once for inserts, and nothing else.
     """
     columns = target.columns
     update_cols = columns if update_cols is None else update_cols
@@ -184,12 +185,12 @@ def upsert(
     if known_by:
         without_key = _without_known(without_key, target.filter(~complete), known_by)
 
-    if matches is not None:
-        taken = matches.filter("_takes").select(*keys)
-        changes = keyed.join(taken, list(keys), "left_semi")
-        updated = _updated(target, changes, keys, update_if, update_cols)
-        missing = (source if known_by is None else keyed).join(matches.select(*keys), list(keys), "left_anti")
-        rows = [missing] if known_by is None else [missing, without_key]
+    if large_load:
+        updated = _updated(target, source, keys, update_if, update_cols)
+        present = target.select(*keys).filter(complete)
+        # A NULL key is never present, so without an identity such rows go the same way.
+        rows = [(source if known_by is None else keyed).join(present, list(keys), "left_anti")]
+        rows += [] if known_by is None else [without_key]
         inserted = [_as_new(r, target.schema, insert_if, insert_cols) for r in rows]
         return reduce(DataFrame.unionByName, [updated, *inserted])
 

@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import match_table, one_row_per_key, upsert, upsert_table
+from ..operators.upsert import one_row_per_key, upsert, upsert_table
 from ..plans import LakePaths, bronze_rows, load_silver, run_lake, to_bronze, update_newest
 from ..plans.bronze import BRONZE_PARTITIONS, QUARANTINE
 from ..schemas import BRONZE, GOLD, REQUIRED_COLUMNS, SILVER, columns
@@ -219,10 +219,14 @@ WHERE in_target OR {insert_if}"""
 def upsert_valid_only(spark: SparkSession, sf: str) -> DataFrame:
     """Valid rows replace or join the table; others change nothing."""
     valid = "source.status = 'VALID'"
-    target, load = _target(spark, sf), _load(spark, sf)
-    matches = match_table(target, load, _KEYS, update_if=valid)
     return upsert(
-        target, load, _KEYS, update_if=valid, insert_if=valid, single_keys=True, matches=matches
+        _target(spark, sf),
+        _load(spark, sf),
+        _KEYS,
+        update_if=valid,
+        insert_if=valid,
+        single_keys=True,
+        large_load=True,
     )
 
 
@@ -233,16 +237,15 @@ _INSERTED = ("pedido", "fila", "data", "valor", "situacao", "status")
 @query(i.sql(_UPSERT_PARTS, _merge_sql(_UPDATED, _INSERTED, "true")))
 def upsert_partial_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Valid rows update two columns; every new row is inserted, without one column."""
-    target, load, valid = _target(spark, sf), _load(spark, sf), "source.status = 'VALID'"
     return upsert(
-        target,
-        load,
+        _target(spark, sf),
+        _load(spark, sf),
         _KEYS,
-        update_if=valid,
+        update_if="source.status = 'VALID'",
         update_cols=_UPDATED,
         insert_cols=_INSERTED,
         single_keys=True,
-        matches=match_table(target, load, _KEYS, update_if=valid),
+        large_load=True,
     )
 
 
@@ -422,8 +425,8 @@ QUALIFY row_number() OVER (PARTITION BY data, estado
     )
 )
 def newest_state_kept(spark: SparkSession, sf: str) -> DataFrame:
-    """The raw records come into silver load by load; each load brings the stored newest
-    states up to date, which then are those of the whole history."""
+    """The raw records come into silver in two loads; each brings the stored newest states
+    up to date, which then are those of the whole history."""
     paths = LakePaths.below(scratch_dir(spark, "lake"))
     records = i.raw_records(spark, sf).withColumns(
         {
@@ -434,11 +437,10 @@ def newest_state_kept(spark: SparkSession, sf: str) -> DataFrame:
             "mes_particao": F.lit(i.LOAD_DATE.month),
         }
     )
-    write_partitioned(records.select(*BRONZE.names), paths.bronze, BRONZE_PARTITIONS)
-    stored = read_table(spark, paths.bronze, BRONZE)
-    loads = [row.dt_carga for row in stored.select("dt_carga").distinct().orderBy("dt_carga").collect()]
-    for k, load in enumerate(loads):
-        moment = i.LOAD_TS + dt.timedelta(days=k)
-        _, changed = load_silver(spark, paths.bronze, paths.silver, moment, dt_carga=load)
+    early = F.col("dt_carga") < "2024-01-03"
+    for k, part in enumerate((early, ~early)):
+        feed, moment = f"{paths.bronze}-{k}", i.LOAD_TS + dt.timedelta(days=k)
+        write_partitioned(records.filter(part).select(*BRONZE.names), feed, BRONZE_PARTITIONS)
+        _, changed = load_silver(spark, feed, paths.silver, moment)
         update_newest(spark, paths.silver, paths.newest, moment, changed)
     return read_table(spark, paths.newest, SILVER).select("data", "estado", "dt_carga", "nome", "tipo")
