@@ -77,6 +77,7 @@ def run_lake(
     keep_first: Sequence[str | Column] | None = None,
     gold_after: Sequence[str] = (SUCCESS, PARTIAL),
     incremental: bool = False,
+    every_state: bool = False,
 ) -> DataFrame:
     """Run landing, bronze, silver and gold for one load and report on all of them.
 
@@ -88,6 +89,8 @@ def run_lake(
     ``incremental`` computes only what the load changed in gold, from a table of newest
     states kept beside silver; otherwise all years from ``first_year`` to ``last_year``.
 
+    ``every_state`` refuses rules that leave a state of ``states`` without any in one of the years.
+
     The report has a line per layer and one per region and year, with the counts of each,
     ``regions_processed``, ``processing_time_seconds``, ``error_message`` and the
     ``execution_date``, which is the load time given.
@@ -139,7 +142,12 @@ def run_lake(
             spark, paths.silver, paths.gold, states, load_ts, changed, newest_path=paths.newest
         )
 
-    step("landing", lambda: extract(rules, first_year, last_year, paths.landing, load_ts), [SUCCESS])
+    scopes = states.select(F.col("uf").alias("scope")) if every_state else None
+    step(
+        "landing",
+        lambda: extract(rules, first_year, last_year, paths.landing, load_ts, scopes=scopes),
+        [SUCCESS],
+    )
     file = landing_path(paths.landing, load_ts)
     step(
         "bronze",

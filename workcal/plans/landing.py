@@ -8,7 +8,7 @@ import time
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.calendar import expand_rules, merge_same_day
+from ..operators.calendar import expand_rules, merge_same_day, rule_conflicts, scopes_without_rules
 from ..schemas import LANDING, SUCCESS, TIPO_NATIONAL, TIPO_STATE
 from ..sinks import observed, write_json
 from .metrics import LANDING_METRICS, one_row
@@ -42,10 +42,27 @@ def landing_rows(
 
 
 def extract(
-    rules: DataFrame, first_year: int, last_year: int, base_path: str, load_ts: dt.datetime
+    rules: DataFrame,
+    first_year: int,
+    last_year: int,
+    base_path: str,
+    load_ts: dt.datetime,
+    *,
+    scopes: DataFrame | None = None,
 ) -> DataFrame:
-    """Write the calendar of the given years to landing; returns its metrics."""
+    """Write the calendar of the given years to landing; returns its metrics.
+
+    ``scopes`` (``scope``) are those the calendar must cover: rules that leave one of them
+    without any in a year, or contradict each other, are refused with an error.
+    """
     started = time.perf_counter()
+    if scopes is not None:
+        gaps = scopes_without_rules(rules, scopes, first_year, last_year).groupBy("scope").agg(F.min("ano").alias("ano"))
+        # An error names a few; it needs no complete list.
+        found = [f"{r.scope} ({r.ano})" for r in gaps.orderBy("scope").limit(30).collect()]
+        found += [f"{r.scope}: {r.nome} ({r.problem})" for r in rule_conflicts(rules).orderBy("scope", "nome").limit(30).collect()]
+        if found:
+            raise ValueError(f"Calendário incompleto: {', '.join(found)}")
     path = landing_path(base_path, load_ts)
     seen = Observation("landing")
     rows = landing_rows(rules, first_year, last_year, load_ts).observe(

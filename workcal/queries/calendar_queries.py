@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.calendar import default_rules, expand_rules
+from ..operators.calendar import default_rules, expand_rules, scopes_without_rules
 from ..operators.cleaning import clean, conform
 from ..operators.regions import holds_in, holidays_by_region, is_valid
 from ..operators.workdays import (
@@ -194,6 +194,22 @@ def workday_views(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(f"SELECT d.* FROM grupos g, LATERAL {REPORT_FUNCTION}(g.regiao, g.ano) d")
 
 
+@query(
+    i.sql(
+        i.CALENDAR_PARTS[:-1],
+        """SELECT uf AS scope, ano
+FROM states, (SELECT CAST(unnest(range(lo - 1, hi + 2)) AS INT) AS ano FROM span)
+WHERE NOT EXISTS (
+  SELECT 1 FROM rules WHERE scope = uf AND ano BETWEEN coalesce(valid_from, ano) AND coalesce(valid_to, ano))""",
+    )
+)
+def rule_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """States and years without any rule of the state, one year beyond the orders at both ends."""
+    first, last = i.years(spark, sf)
+    scopes = i.states(spark, sf).select(F.col("uf").alias("scope"))
+    return scopes_without_rules(i.rules(spark, sf), scopes, first - 1, last + 1)
+
+
 _DAYS = """days AS (
   SELECT regiao, data, max(dia_util) AS dia_util, min(ano) AS ano, min(mes) AS mes
   FROM joined GROUP BY regiao, data)"""

@@ -123,3 +123,48 @@ STATE_RULES = [
     ("Revolução Constitucionalista", "fixed", 7, 9, None, "SP", None, None),
     ("Revolução Farroupilha", "fixed", 9, 20, None, "RS", None, None),
 ]
+
+# State holidays of all 27 states, as their laws set them (same columns).
+ALL_STATE_RULES = [
+    ("Dia do Evangélico", "fixed", 1, 23, None, "AC", 2004, None),
+    ("Aniversário do Acre", "fixed", 6, 15, None, "AC", None, None),
+    ("Dia da Amazônia", "fixed", 9, 5, None, "AC", 2004, None),
+    ("Assinatura do Tratado de Petrópolis", "fixed", 11, 17, None, "AC", None, None),
+    ("São João", "fixed", 6, 24, None, "AL", None, None),
+    ("São Pedro", "fixed", 6, 29, None, "AL", None, None),
+    ("Emancipação Política de Alagoas", "fixed", 9, 16, None, "AL", None, None),
+    ("Elevação do Amazonas à Categoria de Província", "fixed", 9, 5, None, "AM", None, None),
+    ("Nossa Senhora da Conceição", "fixed", 12, 8, None, "AM", None, None),
+    ("São José", "fixed", 3, 19, None, "AP", None, None),
+    ("Criação do Território Federal do Amapá", "fixed", 9, 13, None, "AP", None, None),
+    ("Independência da Bahia", "fixed", 7, 2, None, "BA", None, None),
+    ("São José", "fixed", 3, 19, None, "CE", None, None),
+    ("Data Magna do Ceará", "fixed", 3, 25, None, "CE", None, None),
+    ("Fundação de Brasília", "fixed", 4, 21, None, "DF", None, None),
+    ("Dia do Evangélico", "fixed", 11, 30, None, "DF", None, None),
+    ("Nossa Senhora da Penha", "easter", None, None, 8, "ES", None, None),
+    ("Fundação da Cidade de Goiás", "fixed", 7, 26, None, "GO", None, None),
+    ("Pedra Fundamental de Goiânia", "fixed", 10, 24, None, "GO", None, None),
+    ("Adesão do Maranhão à Independência", "fixed", 7, 28, None, "MA", None, None),
+    ("Data Magna de Minas Gerais", "fixed", 4, 21, None, "MG", None, None),
+    ("Criação de Mato Grosso do Sul", "fixed", 10, 11, None, "MS", None, None),
+    ("Dia da Consciência Negra", "fixed", 11, 20, None, "MT", 2003, None),
+    ("Adesão do Grão-Pará à Independência", "fixed", 8, 15, None, "PA", None, None),
+    ("Fundação do Estado da Paraíba", "fixed", 8, 5, None, "PB", None, None),
+    ("Data Magna de Pernambuco", "fixed", 3, 6, None, "PE", None, None),
+    ("Dia do Piauí", "fixed", 10, 19, None, "PI", None, None),
+    ("Emancipação Política do Paraná", "fixed", 12, 19, None, "PR", None, None),
+    ("Terça-feira de Carnaval", "easter", None, None, -47, "RJ", None, None),
+    ("São Jorge", "fixed", 4, 23, None, "RJ", None, None),
+    ("Mártires de Cunhaú e Uruaçu", "fixed", 10, 3, None, "RN", None, None),
+    ("Criação do Estado de Rondônia", "fixed", 1, 4, None, "RO", None, None),
+    ("Dia do Evangélico", "fixed", 6, 18, None, "RO", None, None),
+    ("Criação do Estado de Roraima", "fixed", 10, 5, None, "RR", None, None),
+    ("Revolução Farroupilha", "fixed", 9, 20, None, "RS", None, None),
+    ("Data Magna de Santa Catarina", "fixed", 8, 11, None, "SC", None, None),
+    ("Autonomia Política de Sergipe", "fixed", 7, 8, None, "SE", None, None),
+    ("Revolução Constitucionalista", "fixed", 7, 9, None, "SP", None, None),
+    ("Autonomia do Tocantins", "fixed", 3, 18, None, "TO", None, None),
+    ("Nossa Senhora da Natividade", "fixed", 9, 8, None, "TO", None, None),
+    ("Criação do Estado do Tocantins", "fixed", 10, 5, None, "TO", None, None),
+]
