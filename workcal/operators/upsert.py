@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..scratch import stage
-from ..sinks import overwrite_partitions, remove_folder, write_partitioned
+from ..sinks import overwrite_partitions, write_partitioned
 from ..sources import from_rows, read_table, table_exists
+from ..storage import remove_folder
 from .cleaning import first_per_key
 
 Condition = str | Column | None

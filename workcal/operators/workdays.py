@@ -115,6 +115,48 @@ def monthly_workdays(days: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def region_faults(
+    records: DataFrame, states: DataFrame, fault: Column, year: Column | None = None
+) -> DataFrame:
+    """``(regiao, ano, falha)``: the regions and years whose records hold a fault.
+
+    ``fault`` gives the message of a faulty record and NULL for a good one; written with
+    try-expressions (``try_to_date``, ``try_cast``) it names what would else end the job for
+    all regions. Several faults give the smallest message. ``year`` is the year that a record
+    belongs to, by default its ``ano``; a faulty record without one concerns all years of its
+    regions (``ano`` NULL), and one of the national scope all regions.
+    """
+    per_state = (
+        records.select("estado", (F.col("ano") if year is None else year).alias("ano"), fault.alias("falha"))
+        .filter("falha IS NOT NULL")
+        .groupBy("estado", "ano")
+        .agg(F.min("falha").alias("falha"))
+    )
+    scopes = with_national(states).withColumnRenamed("uf", "estado")
+    return per_state.join(scopes, "estado").groupBy("regiao", "ano").agg(F.min("falha").alias("falha"))
+
+
+def without_faults(rows: DataFrame, faults: DataFrame) -> DataFrame:
+    """The rows of the regions and years that ``region_faults`` does not name."""
+    dated = faults.filter("ano IS NOT NULL").select("regiao", "ano")
+    always = faults.filter("ano IS NULL").select("regiao")
+    return rows.join(dated, ["regiao", "ano"], "left_anti").join(always, "regiao", "left_anti").select(*rows.columns)
+
+
+def with_faults(totals: DataFrame, faults: DataFrame) -> DataFrame:
+    """``region_totals`` in which the regions and years named by ``region_faults`` have status
+    ERRO, zeros and the fault as message; the others stay as they are."""
+    dated = faults.filter("ano IS NOT NULL")
+    always = faults.filter("ano IS NULL").select("regiao", F.col("falha").alias("_sempre"))
+    joined = totals.join(dated, ["regiao", "ano"], "left").join(always, "regiao", "left")
+    message = F.least("falha", "_sempre")
+    faulty = message.isNotNull()
+    kept = {c: F.when(faulty, F.lit(0)).otherwise(F.col(c)) for c in ("total_holidays", "working_days", "holiday_percentage")}
+    kept["processing_status"] = F.when(faulty, ERROR).otherwise(F.col("processing_status"))
+    kept["error_message"] = F.coalesce(message, "error_message")
+    return joined.select(*(kept[c].alias(c) if c in kept else F.col(c) for c in totals.columns))
+
+
 def region_totals(
     monthly: DataFrame, by: Sequence[str] = ("regiao",), groups: DataFrame | None = None
 ) -> DataFrame:

@@ -18,6 +18,8 @@ from ..operators.workdays import (
     monthly_workdays,
     region_holiday_counts,
     region_totals,
+    with_faults,
+    without_faults,
 )
 from ..schemas import GOLD, GOLD_KEY, REPORT_FUNCTION, SILVER, SUCCESS
 from ..scratch import stage
@@ -82,19 +84,26 @@ def to_gold(
     last_year: int | None = None,
     require_status: bool = False,
     views: bool = False,
+    faults: DataFrame | None = None,
 ) -> DataFrame:
     """Refresh the monthly rows of the year, or of all years to ``last_year`` in one job;
     returns one metrics row per region and year.
 
     A region without valid holidays gets status ERRO and no rows; the others are
     written all the same. ``views`` also creates the session view of each region.
+    ``faults`` (``region_faults``) names regions and years that cannot be computed: they get
+    status ERRO and the fault's message, and what gold holds of them stays; the others go on.
     """
     if read_table(spark, silver_path, SILVER).isEmpty():
         raise ValueError("Nenhum registro em silver")
     holidays = silver_year(spark, silver_path, year, last_year, require_status=require_status)
     days = region_days(holidays, states, year, last_year or year)
+    rows = gold_rows(days, load_ts)
+    if faults is not None:
+        faults = stage(faults, "gold-faults")
+        rows = without_faults(rows, faults)
     upsert_table(
-        gold_rows(days, load_ts),
+        rows,
         gold_path,
         GOLD,
         GOLD_KEY,
@@ -113,7 +122,8 @@ def to_gold(
         for each in years:
             create_views(gold, names, each)
     regions = regions.withColumn("ano", F.explode(F.sequence(F.lit(years[0]), F.lit(years[-1]))))
-    return region_totals(written, groups=regions)
+    totals = region_totals(written, groups=regions)
+    return totals if faults is None else with_faults(totals, faults)
 
 
 def touched_groups(

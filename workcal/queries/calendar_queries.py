@@ -13,9 +13,11 @@ from ..operators.workdays import (
     day_counts,
     holiday_counts,
     monthly_workdays,
+    region_faults,
     region_holiday_counts,
     region_totals,
     state_holiday_counts,
+    with_faults,
     workday_flags,
     workday_profile,
 )
@@ -181,6 +183,43 @@ def region_status(spark: SparkSession, sf: str) -> DataFrame:
     return region_totals(monthly_workdays(days, ["regiao"]), groups=years)
 
 
+@query(
+    i.sql(
+        [
+            *i.DAY_PARTS[:-2],
+            i.SPINE,
+            """records AS (
+  SELECT *, CASE WHEN estado IN (SELECT min(uf) FROM states) AND month(data) = 12
+    THEN strftime(data, '%d-%m-%Y') END AS ilegivel FROM calendar)""",
+            i.JOINED.replace("FROM calendar c JOIN", "FROM records c JOIN").replace("ON estado = uf)", "ON estado = uf WHERE ilegivel IS NULL)"),
+            f"totals AS ({_TOTALS})",
+            """faults AS (
+  SELECT regiao, CAST(year(data) AS INT) AS ano, 'Formato de data inválido: ' || min(ilegivel) AS falha
+  FROM records JOIN states ON estado = uf WHERE ilegivel IS NOT NULL GROUP BY ALL)""",
+        ],
+        """SELECT regiao, ano, CASE WHEN falha IS NULL THEN total_holidays ELSE 0 END AS total_holidays,
+  CASE WHEN falha IS NULL THEN working_days ELSE 0 END AS working_days,
+  CASE WHEN falha IS NULL THEN holiday_percentage ELSE 0 END AS holiday_percentage,
+  CASE WHEN falha IS NULL THEN 'SUCESSO' ELSE 'ERRO' END AS processing_status, falha AS error_message
+FROM totals LEFT JOIN faults USING (regiao, ano)""",
+    )
+)
+def region_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Holidays with dates as text. The first state writes those of December in another way:
+    its region has status ERRO in these years and says why, all others are reported."""
+    states, span = i.states(spark, sf), i.years(spark, sf)
+    first_state = states.agg(F.min("uf")).first()[0]
+    day = F.col("data")
+    odd = (F.col("estado") == first_state) & (F.month(day) == 12)
+    pattern = F.when(odd, F.date_format(day, "dd-MM-yyyy")).otherwise(F.date_format(day, "yyyy-MM-dd"))
+    records = i.calendar(spark, sf, span).withColumn("data_raw", pattern)
+    records = records.withColumn("data", F.try_to_date("data_raw", "yyyy-MM-dd"))
+    fault = F.when(F.col("data").isNull(), F.concat(F.lit("Formato de data inválido: "), "data_raw"))
+    faults = region_faults(records, states, fault, F.regexp_extract("data_raw", "[0-9]{4}", 0).try_cast("int"))
+    days = day_counts(i.region_spine(spark, sf, span), region_holiday_counts(records, states), ["regiao"])
+    return with_faults(region_totals(monthly_workdays(days, ["regiao"])), faults)
+
+
 @query(MONTHLY_SQL)
 def workday_views(spark: SparkSession, sf: str) -> DataFrame:
     """All months of a stored report, through its table function of region and year: one scan."""

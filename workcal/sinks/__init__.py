@@ -2,7 +2,6 @@
 from .files import (
     observed,
     overwrite_partitions,
-    remove_folder,
     write_csv,
     write_json,
     write_partitioned,
@@ -11,7 +10,6 @@ from .files import (
 __all__ = [
     "observed",
     "overwrite_partitions",
-    "remove_folder",
     "write_csv",
     "write_json",
     "write_partitioned",

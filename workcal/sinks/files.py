@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JError
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 
@@ -58,8 +58,3 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
         .partitionBy(*by)
         .parquet(path)
     )
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..schemas import CORRUPT
+from ..storage import exists
 
 
 def from_rows(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
@@ -113,5 +114,4 @@ def in_partitions(table: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when there is a folder or file at ``path``, on whatever file system it names."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return exists(spark, path)
