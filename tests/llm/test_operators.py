@@ -185,12 +185,52 @@ def test_decontamination(spark, docs, nothing, texts):
     got = op03_decontaminate.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), items)
     found = {(r.doc_id, r.item_id): r.changed for r in got.collect()}
     assert found[(100, 1)] is False and found[(101, 1)] is True
-    assert {d for d, _ in found} <= {100, 101, 105}
+    assert found[(102, 1)] is True  # two slots disagree; the other anchors count
+    assert {d for d, _ in found} <= {100, 101, 102, 105}
     assert op03_decontaminate.contaminated(docs, items).count() == 0
     assert op03_decontaminate.contaminated(nothing, items.limit(0)).count() == 0
     assert op03_decontaminate.remove_contaminated(docs, items).count() == docs.count()
 
 
+def test_slots_by_brute_force(spark):
+    """Every anchor of every alignment weighed in plain Python, with conflicts and ties."""
+    r = random.Random(11)
+    plain = [f"w{''.join(r.choices('bcdfgh', k=5))}" for _ in range(60)]
+    value = lambda: r.choice(["12", "30", "7", "Ohio", "Utah", "Oslo"])
+    items = {k: " ".join(value() if n % 4 == 2 else r.choice(plain) for n in range(40)) for k in range(6)}
+    texts = {}
+    for k in range(60):
+        words = items[k % 6].split()
+        for at in r.sample(range(2, 40, 4), r.randint(0, 8)):
+            words[at] = value()
+        texts[k] = " ".join([*r.choices(plain, k=r.randint(0, 9)), *words])
+    words = op03_decontaminate._Words()
+    listed = lambda text: [
+        (at, h, tuple(made[1][at : at + 8][made[2][at : at + 8]].view("int64").tolist()))
+        for made in [op03_decontaminate.template(text, words)]
+        for _, ats, hashes, *_ in op03_decontaminate.anchors(made) for at, h in zip(ats.tolist(), hashes.tolist())
+    ]
+    want = {}
+    for d, text in texts.items():
+        for k, item in items.items():
+            shifts, counted, changed = {}, set(), False
+            for at, h, slots in listed(item):
+                for place, other, held in listed(text):
+                    if h == other:
+                        shifts.setdefault(place - at, []).append((h, list(zip(slots, held))))
+            for rows in shifts.values():
+                votes = Counter(p for _, ps in rows for p in ps)
+                best = {a: min((-n, b) for (x, b), n in votes.items() if x == a)[1] for a, _ in votes}
+                good = [(h, ps) for h, ps in rows if all(a == b or best[a] == b for a, b in ps)]
+                counted |= {h for h, _ in good}
+                changed |= any(a != b for _, ps in good for a, b in ps)
+            if len(counted) >= 0.4 * len({h for _, h, _ in listed(item)}):
+                want[(d, k)] = (len(counted), changed)
+    frames = [spark.createDataFrame(list(x.items()), f"{c} bigint, text string") for x, c in ((texts, "doc_id"), (items, "item_id"))]
+    got = {(x.doc_id, x.item_id): (x.matched, x.changed) for x in op03_decontaminate.contaminated(*frames).collect()}
+    assert got == want and len({w for w in want.values()}) > 4
+
+
 def test_decontamination_of_short_items(spark, monkeypatch):
     """Items of all lengths up to twelve words are found inside long documents, verbatim and with another value."""
     r = random.Random(3)
@@ -223,6 +263,10 @@ def test_decontamination_of_rows_without_id(spark, texts):
     kept = op03_decontaminate.remove_contaminated(docs, items)
     assert kept.columns == docs.columns
     assert Counter(map(tuple, kept.collect())) == Counter([rows[1], rows[2], rows[3], rows[5]])
+    names = ["_key", "row", "item_id", "anchor", "rows", "votes"]
+    clashing = docs.selectExpr("*", *(f"'x' AS {c}" for c in names))
+    kept = op03_decontaminate.remove_contaminated(clashing, items)
+    assert kept.columns == clashing.columns and kept.count() == 4
 
 
 def test_secrets(docs, nothing, texts):
@@ -306,6 +350,17 @@ def test_licenses(docs, nothing, texts):
     assert op07_license_scan.scan_licenses(nothing).count() == 0
 
 
+def test_license_tags_and_notices():
+    scan = op07_license_scan.Scanner().scan
+    odd = scan("SPDX-License-Identifier: see file")
+    assert (odd.labels, odd.score, odd.binding, odd.unknown) == ("", 0.0, None, "see")
+    both = scan("SPDX-License-Identifier: MIT\nGNU General Public License applies to the rest")
+    assert (both.labels, both.binding, both.score) == ("gpl,mit", 1.0, 1.0)
+    mixed = scan("spdx-license-identifier: (MIT OR Foo-1.0) AND LicenseRef-own")
+    assert (mixed.labels, mixed.binding, mixed.unknown) == ("licenseref-own,mit", None, "foo-1.0")
+    assert scan("MIT License").unknown == "" and scan("").binding is None
+
+
 def test_warc(spark, tmp_path):
     rows = [(3, "http://a/ b", "same"), (1, None, "same"), (2, "u", "é" * 50_000), (None, "u", "same"), (5, "u", None),
             (6, "u", ""), (2, "u", "é" * 50_000)]

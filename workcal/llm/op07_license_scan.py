@@ -6,11 +6,14 @@ notice phrases and tag names passes over that string once, whatever the number o
 phrases, and finds overlapping ones too. Where it meets the identifier tag, the
 licence expression behind the tag is read from the text itself: a shunting-yard
 parser puts ``WITH`` before ``AND`` before ``OR`` and evaluates how binding the
-expression is.
+expression is. Only identifiers of a known licence family become labels; an expression
+with any other operand ("see file") keeps the known ones and has no value, and the other
+operands are listed by themselves. Notices count besides tags: a text binds as its strictest part.
 
 Each row is read by itself: no shuffle, any length of text, hot sources do not
-matter. Null and empty texts have no words and score 0. Repeated rows are repeated
-results. A malformed expression keeps the identifiers that it names, without a value.
+matter. Null and empty texts have no words and score 0, an empty table gives none.
+Repeated rows are repeated results; of other columns, whatever their names, none is read. A
+malformed expression keeps the known identifiers that it names, without a value.
 """
 
 from __future__ import annotations
@@ -63,6 +66,18 @@ BINDING = {
     "agpl": 1.0, "gpl": 1.0, "cc-by-nc": 0.9, "cc-by-nd": 0.9, "cc-by-sa": 0.8, "lgpl": 0.6, "mpl": 0.5, "epl": 0.5,
 }
 _DEFAULT_BINDING = 0.1
+#: How identifiers of licences begin, up to their first hyphen. ``LicenseRef-`` names one's own.
+FAMILIES = frozenset(
+    "0bsd aal afl agpl apache apl apsl artistic beerware blueoak bsd bsl busl c cc cc0 cddl cecill cpal cpl ecl efl epl "
+    "eupl fdl ftl gfdl gpl hpnd icu ijg imatix ipl isc jpnic lgpl libpng libtiff licenseref lppl mit mpl ms mulanpsl ncsa "
+    "nasa netcdf ofl ogl olfl openssl osl php postgresql psf python qpl ruby sgi sissl sleepycat spl ssh tcl ubl ucl "
+    "unicode unlicense upl vim w3c wtfpl x11 xnet zlib zpl".split()
+)
+
+
+def is_licence(identifier: str) -> bool:
+    """``mit``, ``gpl-2.0-only``, ``apache-2.0+``; case does not matter."""
+    return identifier.lower().rstrip("+").partition("-")[0] in FAMILIES
 
 _TAG_TEXT = re.compile(r"spdx-license-identifier:[ \t]*([^\n]*)", re.IGNORECASE)
 _SYMBOL = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+:-]*")
@@ -84,6 +99,7 @@ class Found(NamedTuple):
     score: float
     binding: float | None
     phrases: list[tuple[str, int]]
+    unknown: str
 
 
 def binding_of(identifier: str) -> float:
@@ -176,7 +192,7 @@ class Scanner:
         base_labels: set[str] = set()
         labels: set[str] = set()
         phrases: list[tuple[str, int]] = []
-        score, tagged, binding = 0.0, False, None
+        score, tagged = 0.0, False
         counted, at, cue_end = 0, 0, -1
         for end, (phrase, label) in self.automaton.iter(line):
             start = end - len(phrase) - 1
@@ -195,42 +211,44 @@ class Scanner:
                 base.append(counted)
                 base_labels.add(label)
             score = max(score, 0.9 if 0 <= counted - cue_end <= 2 and cue_end >= 0 else 0.6)
+        unknown: set[str] = set()
+        bindings = [binding_of(label) for label in labels]
         if tagged:
             for match in _TAG_TEXT.finditer(text):
                 identifiers, value = evaluate(match[1])
-                labels.update(identifiers)
-                if identifiers:
+                known = set(filter(is_licence, identifiers))
+                unknown.update(set(identifiers) - known)
+                labels.update(known)
+                if known:
                     score = 1.0
-                if value is not None:
-                    binding = value if binding is None else max(binding, value)
-        elif labels:
-            binding = max(map(binding_of, labels))
+                if value is not None and len(known) == len(identifiers):
+                    bindings.append(value)
         return Found(
             len(words), len(base), min(base, default=None), max(base, default=None),
-            ",".join(sorted(base_labels)), ",".join(sorted(labels)), score, binding, sorted(phrases, key=lambda p: p[1]),
+            ",".join(sorted(base_labels)), ",".join(sorted(labels)), score, max(bindings, default=None),
+            sorted(phrases, key=lambda p: p[1]), ",".join(sorted(unknown)),
         )
 
 
 _SCHEMA = (
     "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, "
-    "labels string, score double, binding double, phrases array<struct<phrase: string, word: bigint>>"
+    "labels string, score double, binding double, unknown string, phrases array<struct<phrase: string, word: bigint>>"
 )
 _PHRASES = pa.list_(pa.struct([("phrase", pa.string()), ("word", pa.int64())]))
 
 
 def scan_licenses(docs: DataFrame, notices: Mapping[str, str] = NOTICE_PHRASES) -> DataFrame:
     """Per row: words, base finds, labels, ``score`` (1 a tag, 0.9 a notice behind a cue
-    such as "licensed under", 0.6 a bare phrase, 0 nothing), ``binding`` (0 to 1) and
-    every phrase with the word it starts at."""
+    such as "licensed under", 0.6 a bare phrase, 0 nothing), ``binding`` (0 to 1),
+    ``unknown`` operands of tags, and every phrase with the word it starts at."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(notices)
         for batch in batches:
             found = [scanner.scan(t) for t in texts_of(batch)]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-            columns = {
-                name: pa.array([f[k] for f in found], kind) for k, (name, kind) in enumerate(zip(Found._fields, kinds))
-            }
+            kinds = {name: pa.int64() for name in Found._fields[:4]} | {"base_labels": pa.string(), "labels": pa.string()}
+            kinds |= {"score": pa.float64(), "binding": pa.float64(), "unknown": pa.string()}
+            columns = {name: pa.array([getattr(f, name) for f in found], kind) for name, kind in kinds.items()}
             phrases = pa.array([[{"phrase": p, "word": w} for p, w in f.phrases] for f in found], _PHRASES)
             yield batch_of(doc_id=batch.column("doc_id"), **columns, phrases=phrases)
 
