@@ -156,7 +156,7 @@ def generated_samples(count: int = 3000, seed: int = 7) -> list[tuple[str, bool]
     r = random.Random(seed)
     alphabets = [_ALPHABET[:62], _ALPHABET[:64], "0123456789abcdef", _ALPHABET[:26] + "0123456789", _ALPHABET[26:62]]
     alphabets += [_ALPHABET[:52], _ALPHABET[:26], _ALPHABET[26:52]]
-    made = []
+    made = [(c * size, False) for c in _ALPHABET for size in range(LEAST_RANDOM, LEAST_RANDOM + 10)]  # fillers
     for k in range(count):
         alphabet = alphabets[k % len(alphabets)]
         made.append(("".join(r.choices(alphabet, k=r.randint(LEAST_RANDOM, 64))), True))
@@ -174,12 +174,11 @@ def generated_samples(count: int = 3000, seed: int = 7) -> list[tuple[str, bool]
             name = "_".join(parts).upper()
         elif style == 5:
             name = "".join(parts)
-        else:  # numbers among names, and runs: dates, versions, paths, fillers
+        else:  # numbers among names: dates, versions, paths
             year, month, day = r.randint(1950, 2050), r.randint(1, 12), r.randint(1, 28)
             date = f"{year}-{month:02}-{day:02}"
             name = r.choice([f"{date}T{r.randint(0, 23):02}", f"/{'/'.join(parts)}/{date}", f"{parts[0]}-{year}{month:02}{day:02}",
-                             f"{parts[0]}_v{r.randint(1, 20)}_{parts[1]}", f"{parts[0]}{r.randint(1, 99)}={parts[1]}",
-                             r.choice(_ALPHABET) * r.randint(LEAST_RANDOM, 40)])
+                             f"{parts[0]}_v{r.randint(1, 20)}_{parts[1]}", f"{parts[0]}{r.randint(1, 99)}={parts[1]}"])
         made.append((name, False))
     return made
 
