@@ -367,6 +367,41 @@ def test_main_text_of_all_pages(spark):
     assert right >= 0.98 * len(rows)
 
 
+def article_of(html):
+    import html as entities
+
+    body = re.sub(r"<footer.*", "", re.search(r"<article>(.*?)(</article>|$)", html, re.S)[1], flags=re.S)
+    parts = re.split(r"</?(?:p|h1|h2|li|ul|div)\b[^>]*>", re.sub(r"</?b>", "", body))
+    plain = (" ".join(entities.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in parts)
+    return "\n".join(x for x in plain if x)
+
+
+@pytest.mark.parametrize("container", ["div", 'div class="post"', 'div id="story"', "section", "td", 'div class="x1"'])
+def test_main_text_without_semantic_elements(spark, container):
+    """No page of the table has an article element; comments and a notice lie inside the container."""
+    name = container.split()[0]
+    inside = '<div class="cookie notice"><p>We use cookies to do what we do, agree.</p></div><div class="comments"><p>Nice text, thanks for it.</p></div>'
+    rows = []
+    for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").orderBy("page_id").collect():
+        page = r.html.replace("<article>", f"<{container}>").replace("</article>", f"{inside}</{name}>")
+        rows.append((r.page_id, r.url, page.replace("<nav>", '<div class="menu">').replace("</nav>", "</div>"), article_of(r.html)))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, known string")
+    field = op05_main_text.train(pages)
+    got = {r.page_id: r.text for r in op05_main_text.extract(pages, field).collect()}
+    assert all(got[page] for page, _, _, known in rows if known)
+    right = sum(got[page] == known for page, _, _, known in rows)
+    assert right >= 0.95 * len(rows), right / len(rows)
+
+
+def test_main_text_trains_alike_on_repeated_and_clashing_rows(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").limit(20).cache()
+    again = pages.unionByName(pages).unionByName(pages.selectExpr("page_id", "url", "html || '<p>x'"  " AS html"))
+    odd = again.selectExpr("*", "1 AS text", "2 AS block", "3 AS n_chars").repartition(5)
+    a, b = op05_main_text.train(pages), op05_main_text.train(odd)
+    assert a.index == b.index and (a.weights == b.weights).all()
+    assert op05_main_text.extract(odd, b).columns == ["page_id", "url", "text"]
+
+
 def test_bpe(docs, nothing, texts):
     path = public_tokenizers.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
