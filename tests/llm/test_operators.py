@@ -539,6 +539,47 @@ def test_lm_keeps_ngrams_of_rare_words(spark):
         assert got[0].score > got[0].base_score + 40
 
 
+def test_bpe_of_words_by_rank():
+    """Every word of a table, every plain letter and awkward joins of them: as the library has them."""
+    import pyarrow.parquet as pq
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = op06_bpe.ChunkEncoder(path)
+    assert encoder.ranked is not None
+    r = random.Random(8)
+    plain = [chr(c) for c in range(0x21, 0x180) if op06_bpe._PLAIN.fullmatch(chr(c))]
+    words = {w for t in pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist() for w in (t or "").split()}
+    words |= {*plain, "x's", "'S'RE'll", "don't'", "a1b22", "--", "I'M", "x" * 5000}
+    words |= {"".join(r.choices(plain, k=r.randint(2, 12))) for _ in range(20_000)}
+    quick = sorted(w for w in words if op06_bpe._PLAIN.fullmatch(w) and not encoder._special(w))
+    assert len(quick) > 20_000 and encoder.ranked.ids(quick) == encoder._by_library(quick)
+
+
+def test_bpe_memory_keeps_what_is_used(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(op06_bpe, "STORE_WORDS", 50)
+    encoder = op06_bpe.ChunkEncoder(path)
+    for k in range(40):
+        encoder.encode_all([f"often {' '.join(f'w{k}x{j}' for j in range(20))}"])
+        assert b"often" in encoder.words or b"often" in encoder.words.old
+        assert len(encoder.words) + len(encoder.words.old) <= 100
+
+
+def test_bpe_query_against_the_library(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    whole.no_truncation()
+    whole.no_padding()
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    got = by_id(op06_bpe.op6_bpe(spark, SF_DIR))
+    assert len(got) == len(rows)
+    for row in rows:
+        ids = whole.encode(row.text or "", add_special_tokens=False).ids
+        decoded = whole.decode(ids, skip_special_tokens=False)
+        want = (len(ids), *(hashlib.sha256(x.encode()).hexdigest() for x in (" ".join(map(str, ids)), decoded)))
+        assert (got[row.doc_id].n_tokens, got[row.doc_id].ids_sha256, got[row.doc_id].decoded_sha256) == want
+
+
 def test_bpe_refuses_tokenizers_that_keep_space(tmp_path):
     from tokenizers import Tokenizer, models, pre_tokenizers
 

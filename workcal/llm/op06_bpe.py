@@ -13,13 +13,22 @@ The store of chunks lives in the Python worker, which serves many tasks, and is
 bounded in bytes. No text is shuffled to be encoded: each chunk is encoded at most
 once per worker and filling of its store, which on large inputs costs less than
 moving chunks and tokens to meet each other would. Words are remembered in the same
-bounded way. A lost executor only loses stored chunks; rows do not depend on them.
+bounded way: of chunks and words those used since the last filling stay. A lost executor only
+loses what is stored; rows do not depend on it.
 
-Null texts count as empty and have no tokens. Repeated rows give repeated results.
+New words are encoded together. Where the tokenizer's file is a byte-level vocabulary with
+an end-of-word sign, merges in the order of their ids, and the normalizer and splitting
+pattern known here, ``RankedWords`` merges the pairs of plain words by rank, which gives the
+library's ids (compared on its own tokens at the start); all other words, and all words of
+other files, go to the library.
+
+Null texts count as empty and have no tokens. Repeated rows give repeated results, an empty
+table none. Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,6 +37,8 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -111,6 +122,73 @@ def require_dropped_space(tokenizer: Tokenizer) -> None:
             raise ValueError(f"the tokenizer does not drop white space ({space!r}); its texts cannot be encoded by words")
 
 
+# The normalizer, the pattern and the sign of the files that merge by rank.
+_NORMALIZERS = [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_WORD_END = "</w>"
+#: Words of these letters only are the same for all normalizers in question but for their case.
+_PLAIN = regex.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u017e]+")
+
+
+def _byte_of() -> dict[str, int]:
+    """The byte for which each character of a byte-level vocabulary stands."""
+    printable = [*range(ord("!"), 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = sorted(set(range(256)) - set(printable))
+    return dict(zip(map(chr, (*printable, *range(0x100, 0x100 + len(hidden)))), (*printable, *hidden)))
+
+
+class RankedWords:
+    """Ids of plain words by merging pairs by rank. A zero byte behind each part stands for
+    the end-of-word sign; its pairs have the lowest ranks, so they are merged first."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.line = ranks[b"\n"]
+        self.split = regex.compile(_SPLIT)
+        self.encoding = tiktoken.Encoding(
+            "words", pat_str=r"[^\x00\n]+\x00|\n", mergeable_ranks=ranks, special_tokens={}
+        )
+
+    @classmethod
+    def of(cls, spec: dict) -> RankedWords | None:
+        """None for a file for which merging by rank is not known to say the same."""
+        model, split = spec["model"], (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        same = model.get("type") == "BPE" and model.get("end_of_word_suffix") == _WORD_END
+        same &= not any(model.get(k) for k in ("dropout", "unk_token", "byte_fallback", "ignore_merges", "continuing_subword_prefix"))
+        same &= (spec.get("normalizer") or {}).get("normalizers") == _NORMALIZERS and len(split) == 2
+        same &= split[0].get("pattern") == {"Regex": _SPLIT} and split[0].get("behavior") == "Removed" and bool(split[0].get("invert"))
+        same &= split[-1].get("type") == "ByteLevel" and not split[-1].get("use_regex") and not split[-1].get("add_prefix_space")
+        if not same:
+            return None
+        vocabulary, byte_of = model["vocab"], _byte_of()
+        added = {a["content"] for a in spec["added_tokens"]}
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        merged = [vocabulary.get(a + b, -1) for a, b in pairs]
+        single = [vocabulary.get(c + end, -1) for end in ("", _WORD_END) for c in byte_of]
+        ids = sorted(n for w, n in vocabulary.items() if w not in added)
+        if merged != sorted(merged) or sorted(single) != ids[:512] or sorted(single + merged) != ids:
+            return None
+
+        def key(word: str) -> bytes:
+            end = word.endswith(_WORD_END) and word not in byte_of
+            return bytes(byte_of[c] for c in (word[: -len(_WORD_END)] if end else word)) + (b"\0" if end else b"")
+
+        ranks = {key(w): n for w, n in vocabulary.items() if w not in added and key(w) != b"\0"}
+        ranks[b"\0"] = vocabulary[next(c for c, b in byte_of.items() if b == 0)]
+        zero = any(b"\0" in k[:-1] for k in ranks if len(k) > 2)
+        return None if zero or len(ranks) != len(ids) else cls(ranks)
+
+    def ids(self, words: list[str]) -> list[tuple[int, ...]]:
+        """Of words of ``_PLAIN`` letters, without a special token."""
+        if not words:
+            return []
+        marked = self.split.sub("\\g<0>\0", "\n".join(words).lower())
+        found = self.encoding.encode_ordinary(marked)
+        ends = np.flatnonzero(np.array(found, dtype=np.int64) == self.line).tolist()
+        return [tuple(found[a:b]) for a, b in zip((0, *(e + 1 for e in ends)), (*ends, len(found)))]
+
+
 class ChunkEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
@@ -118,7 +196,19 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         require_dropped_space(self.tokenizer)
-        self.words: dict[bytes, tuple[int, ...]] = {}
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.special = [a["content"] for a in spec["added_tokens"]]
+        self.ranked = RankedWords.of(spec)
+        if self.ranked is not None:
+            known = [w for t in list(spec["model"]["vocab"])[::20] if _PLAIN.fullmatch(w := t.removesuffix(_WORD_END)) and not self._special(w)]
+            if self.ranked.ids(known) != self._by_library(known):
+                self.ranked = None
+        # Without a decoder the library joins the tokens by spaces.
+        self.tokens = None
+        if spec.get("decoder") is None:
+            self.tokens = {n: t for t, n in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        self.words = Generations(STORE_WORDS)
         self.chunks = Generations(STORE_BYTES)
         self.reused = self.encoded = 0
 
@@ -139,9 +229,9 @@ class ChunkEncoder:
                 plan.append(piece if known is None else known)
             plans.append(plan)
         split = {piece: piece.split() for piece in wanted}
-        self._learn(set().union(*split.values()))
+        ids_of = self._ids_of(set().union(*split.values()))
         for piece, words in split.items():
-            wanted[piece].extend(chain.from_iterable(map(self.words.__getitem__, words)))
+            wanted[piece].extend(chain.from_iterable(map(ids_of.__getitem__, words)))
             if len(piece) >= 64:
                 self.chunks.remember(piece, wanted[piece], len(piece) + 40)
         return [
@@ -149,18 +239,29 @@ class ChunkEncoder:
             for plan in plans
         ]
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Adds the ids of the words that are not known; starts anew when there are too many."""
-        new = words - self.words.keys()
-        if len(self.words) + len(new) > STORE_WORDS:
-            self.words.clear()
-            new = words
+    def _ids_of(self, words: set[bytes]) -> dict[bytes, tuple[int, ...]]:
+        """The ids of each word; those that are not remembered are encoded together."""
+        found = {w: ids for w in words if (ids := self.words.recall(w)) is not None}
+        new = list(words - found.keys())
         texts = [w.decode("utf-8", "surrogatepass") for w in new]
-        encodings = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        self.words.update(zip(new, (tuple(e.ids) for e in encodings)))
+        quick = [self.ranked is not None and _PLAIN.fullmatch(t) is not None and not self._special(t) for t in texts]
+        ranked = iter(self.ranked.ids([t for t, q in zip(texts, quick) if q]) if self.ranked else ())
+        other = iter(self._by_library([t for t, q in zip(texts, quick) if not q]))
+        for word, q in zip(new, quick):
+            found[word] = ids = next(ranked if q else other)
+            self.words.remember(word, ids)
+        return found
+
+    def _special(self, text: str) -> bool:
+        return any(x in text for x in self.special)
+
+    def _by_library(self, texts: list[str]) -> list[tuple[int, ...]]:
+        return [tuple(e.ids) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def decode_all(self, ids: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        if self.tokens is None:
+            return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        return [" ".join(map(self.tokens.__getitem__, x)) for x in ids]
 
 
 @lru_cache(maxsize=2)
