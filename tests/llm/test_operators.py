@@ -7,9 +7,11 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import oracle
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from workcal.llm import (
     op01_quality_fm,
@@ -470,73 +472,99 @@ def test_warc(spark, tmp_path):
     assert op08_warc.read_archives(none).count() == 0
 
 
-def test_language_model(docs, nothing, texts):
-    model = op09_lm_score.train(docs.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
-    counts = Counter()
-    for t in texts:
-        counts.update(words(low(t)))
-        counts["\0end"] += 1
-    n, v = sum(counts.values()), len(counts)
-    assert (model.n, model.v) == (n, v)
-    got = by_id(op09_lm_score.score(docs, model))
-    for k, t in enumerate(texts):
-        tokens = [*words(low(t)), "\0end"]
-        want = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens)
-        assert got[k].base_score == pytest.approx(want, rel=1e-9)
-        assert (got[k].n_tokens, got[k].n_known) == (len(tokens), len(tokens))
-    assert op09_lm_score.score(docs, model).count() == docs.count()
-    assert op09_lm_score.score(nothing, op09_lm_score.train(nothing)).count() == 0
-    only = op09_lm_score.train(nothing)
-    assert op09_lm_score.score(docs, only).count() == docs.count()
+class PlainModel:
+    """Counts of token tuples, and the smoothed probability by its recursive definition."""
+
+    def __init__(self, texts):
+        self.counts = Counter()
+        for t in map(self.tokens, texts):
+            self.counts.update(tuple(t[k : k + n]) for n in (1, 2, 3) for k in range(len(t) - n + 1))
+        single = [c for gram, c in self.counts.items() if len(gram) == 1]
+        self.n, self.v = sum(single), len(single)
+
+    @staticmethod
+    def tokens(text):
+        return [*words(low(text)), "\0end"]
+
+    def p(self, *gram):
+        if len(gram) == 1:
+            return (self.counts[gram] + 0.5) / (self.n + 0.5 * (self.v + 1))
+        mass = op09_lm_score.MASS[len(gram) - 2]
+        return (self.counts[gram] + mass * self.p(*gram[1:])) / (self.counts[gram[:-1]] + mass)
+
+    def score(self, text):
+        t = self.tokens(text)
+        return sum(math.log10(self.p(*t[max(k - 2, 0) : k + 1])) for k in range(len(t)))
+
+    def check(self, row, text):
+        t = self.tokens(text)
+        assert row.n_tokens == len(t)
+        assert row.n_known == sum(self.counts[(w,)] > 0 for w in t)
+        assert row.train_tokens == self.n
+        assert row.base_score == pytest.approx(sum(math.log10(self.p(w)) for w in t), rel=1e-9)
+        assert row.score == pytest.approx(self.score(text), rel=1e-9)
+
+
+@pytest.mark.parametrize("size, bucket", [(op09_lm_score.BLOCK, op09_lm_score.BUCKET), (3_000, 4_000)])
+def test_language_model(docs, nothing, texts, size, bucket):
+    """In one block and bucket and in many; repeated rows count and are scored each by itself."""
+    learn = F.col("doc_id") % 3 != 1
+    repeated = [t for k, t in enumerate(texts) if k % 3 != 1] + [texts[0]] * 2
+    plain = PlainModel(repeated)
+    rows = op09_lm_score.score(docs, learn, size=size, bucket=bucket).collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(str(r.doc_id) for r in docs.collect())
+    for row in rows:
+        plain.check(row, texts[1 if row.doc_id is None else row.doc_id])
+    assert op09_lm_score.score(nothing, learn).count() == 0
+    untaught = op09_lm_score.score(docs, F.lit(None).cast("boolean")).collect()
+    assert {(r.n_known, r.train_tokens) for r in untaught} == {(0, 0)}
+    assert all(r.score == pytest.approx(0.0) for r in untaught)
 
 
 def test_automaton_is_a_distribution():
-    """After every state the probabilities of all words and the unknown one add up to one."""
-    import numpy as np
-
-    counts = np.array([9, 6, 4])
-    n, v = 19, 3
-    pairs = {0 * 3 + 1: 4, 1 * 3 + 0: 3, 1 * 3 + 2: 2}
-    triples = {(0 * 3 + 1) * 3 + 0: 2, (0 * 3 + 1) * 3 + 2: 1}
-    m = op09_lm_score.build(np.arange(3, dtype=np.uint64), counts, pairs, triples, n, v)
-    unknown = 0.5 / (n + 0.5 * (v + 1))
-    for before in ([], [0], [1], [2], [0, 1]):
-        start = m.traverse(before)
-        total = sum(10 ** (m.traverse([*before, w]) - start) for w in range(3))
-        total += unknown * 10 ** (m.traverse([*before, -1]) - start)
+    """After every context the probabilities of all words and the unknown one add up to one."""
+    plain = PlainModel(["a b a c a b", "b a c", "c c a b a", "d"])
+    vocabulary = [gram[0] for gram in plain.counts if len(gram) == 1]
+    for before in ([], ["a"], ["d"], ["a", "b"], ["c", "c"], ["b", "d"], ["?", "a"], ["a", "?"]):
+        t = [*before, None]
+        total = 0.0
+        for word in [*vocabulary, "?"]:
+            t[-1] = word
+            of = lambda n: np.array([plain.counts[tuple(t[k - n + 1 : k + 1])] if k >= n - 1 else 0 for k in range(len(t))])  # noqa: B023, E731
+            automaton = op09_lm_score.Automaton([of(1), of(2), of(3)], plain.n + 0.5 * (plain.v + 1), op09_lm_score.MASS)
+            total += 10 ** (automaton.traverse(0, len(t)) - automaton.traverse(0, len(before)))
         assert total == pytest.approx(1.0)
 
 
-def test_lm_keeps_ngrams_of_rare_words(spark):
-    """Weights joined from the table add up to the paths of the automaton over all words."""
-    import numpy as np
+def test_traversal_in_pieces(monkeypatch):
+    """The state goes on where the weights of a long text are taken in pieces."""
+    plain = PlainModel(["a b a c a b a b a c"])
+    t = PlainModel.tokens("a b a c x a b a a b")
+    of = lambda n: np.array([plain.counts[tuple(t[k - n + 1 : k + 1])] if k >= n - 1 else 0 for k in range(len(t))])
+    automaton = op09_lm_score.Automaton([of(1), of(2), of(3)], plain.n + 0.5 * (plain.v + 1), op09_lm_score.MASS)
+    whole = automaton.traverse(0, len(t))
+    monkeypatch.setattr(op09_lm_score, "STEPS", 1)
+    assert automaton.traverse(0, len(t)) == pytest.approx(whole)
 
-    r = random.Random(9)
-    vocabulary = [f"w{k}" for k in range(3000)]
-    learned = [" ".join(r.choices(vocabulary, k=40)) for _ in range(60)]
-    learned += [" ".join([*r.choices(vocabulary, k=3), t, "the end"]) for t in learned[:30]]
-    unseen = ["never seen w1 before", learned[0] + " new " + learned[1][:80], "", "the end"]
-    frame = lambda rows: spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
-    tokens = lambda t: [*t.split(), "\0end"]
-    counts, pairs, triples = Counter(), Counter(), Counter()
-    for t in map(tokens, learned):
-        counts.update(t)
-        pairs.update(zip(t, t[1:]))
-        triples.update(zip(t, t[1:], t[2:]))
-    n, v = sum(counts.values()), len(counts)
-    place = {w: k for k, w in enumerate(counts)}
-    key = lambda gram: sum(place[w] * v**k for k, w in enumerate(reversed(gram)))
-    kept = [{key(g): c for g, c in grams.items() if c >= 2} for grams in (pairs, triples)]
-    automaton = op09_lm_score.build(np.arange(v, dtype=np.uint64), np.array(list(counts.values())), *kept, n, v)
-    unknown = math.log10(0.5 / (n + 0.5 * (v + 1)))
-    # By the broadcast (all arcs are frequent), by the join (only words of a hundredth are), and by both.
-    for frequent in (1e-6, 1e-2, 2.5 / n):
-        model = op09_lm_score.train(frame(learned), frequent=frequent)
-        got = by_id(op09_lm_score.score(frame(learned + unseen), model))
-        for k, t in enumerate(learned + unseen):
-            ids = [place.get(w, -1) for w in tokens(t)]
-            assert got[k].score == pytest.approx(automaton.traverse(ids) + unknown * ids.count(-1), rel=1e-9)
-        assert got[0].score > got[0].base_score + 40
+
+def test_packed_integers():
+    for values in ([], [0], [2**64 - 1, 0, 7], list(range(1000))):
+        assert op09_lm_score.unpack(op09_lm_score.pack(np.array(values, np.uint64))).tolist() == values
+
+
+def test_lm_query_against_its_contract(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    held_out = {r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 5 == 1 for r in rows}
+    plain = PlainModel([r.text for r in rows if not held_out[r.doc_id]])
+    got = op09_lm_score.op9_lm_score(spark, SF_DIR)
+    assert got.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    got = by_id(got)
+    assert len(got) == len(rows)
+    for r in rows:
+        assert got[r.doc_id].held_out is held_out[r.doc_id]
+        plain.check(got[r.doc_id], r.text)
+    unseen = [got[k] for k in got if held_out[k]]
+    assert sum(r.score for r in unseen) > sum(r.base_score for r in unseen)
 
 
 def test_bpe_of_words_by_rank():

@@ -1,422 +1,308 @@
 """LM scoring: an n-gram model as a weighted automaton with failure arcs.
 
-Tokens are words with A-Z lower-cased, and one end per text. The root of the automaton
-knows every word of the training texts; a context of one or two words is a state with
-an arc for each continuation that the training texts hold at least twice, whatever its
-words. A token without an arc takes the failure arc to the shorter context and pays its
-backoff weight. With absolute discounting and these weights the probabilities after
-every state add up to one, the unknown word included.
-
-An arc of three words implies its two pairs, so what a step costs beyond the root
-depends only on the n-grams that end or start there: the path of a text is the sum of
-one weight for each of its words, pairs and triples. An arc's weight is its
-log-probability less what the failure path would have cost, and the backoff weight of a
-state is part of its word's or pair's. So no automaton has to fit into memory: the
-weights are a staged table, and a text's distinct n-grams meet theirs by a join.
-
-Words and arcs with at least a millionth of the training tokens (at most a million of
-each length, at every size) are shared with every task instead; nothing that is left
-holds more than a millionth of the tokens, so no key of the join is hot, whatever its
-source. This changes where a weight is looked up, never its value.
-
-Null texts count as empty: one end token. Repeated rows are scored each by itself; the
-row number that tells them apart exists only within the query. Words and pairs are told
-apart by 64-bit hashes. A null doc_id is in no fold and is scored, not learned from.
+Tokens are words with A-Z lower-cased, and one end per text. Every word, pair and triple
+of the learned texts counts, seen once or often. States are the empty context (root), the
+learned words and the learned pairs. A state has an arc for each word that follows its
+context in the learned texts, with the smoothed log-probability
+
+    p(w | h) = (c(h w) + mass * p(w | h without its first word)) / (c(h) + mass)
+
+(a hierarchical Dirichlet model), and a failure arc to the shorter context, with weight
+mass / (c(h) + mass). As every occurrence of a context but the end of a text is followed
+by a token, the probabilities after each state add up to one, the unknown word included.
+A text is scored by one traversal from left to right that carries the state.
+
+Counting and looking up are one pass, so that no automaton has to fit into memory:
+
+1. Rows are staged in blocks of bounded size.
+2. Each block sends its distinct n-grams, each with its count in the block's learned
+   rows, to a bucket by hash: sorted hashes, packed as differences. The number of buckets
+   follows the number of tokens, so a bucket's size is bounded at every size of input; an
+   n-gram comes at most once per block, so none is hot.
+3. A bucket adds up and answers each block with the totals in the order it asked.
+4. The answers come to their block, give its part of the automaton, and its texts are
+   traversed.
+
+Nothing but two sums passes through the driver, and nothing is broadcast by demand.
+
+Null texts count as empty: one end token. Repeated rows, also those with one doc_id, are
+scored (and learned) each by itself; other columns are not read, so names cannot clash.
+An empty table gives no rows; with nothing to learn from every token is unknown. A row
+whose ``learn`` is null is not learned from. Tokens and n-grams are told apart by 64-bit
+hashes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import NamedTuple
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import stage
 from .op01_quality_fm import fold
-from .texts import WordHashes, batch_of, map_batches, mix, table, texts_of, words_of
+from .texts import WordHashes, batch_of, map_batches, mix, table, words_of
 
-#: A frequent word or arc has at least this share of the training tokens: at most 1/share exist.
-FREQUENT = 1e-6
-#: An arc's n-gram occurs so often in the training texts.
-LEAST = 2
-DISCOUNT = 0.5
-#: Distinct keys that a task counts in memory before it hands them on.
-FLUSH = 1_000_000
+#: Mass of the shorter context's distribution after a word, and after a pair.
+MASS = (30.0, 8.0)
+#: A block ends with the row that brings it to so many characters.
+BLOCK = 8_000_000
+#: Expected n-grams sent to a bucket by all blocks, at most (times two).
+BUCKET = 2_000_000
+#: Positions whose weights a task holds as Python numbers at a time.
+STEPS = 50_000
 
 END = np.uint64(0x5F3759DF5F3759DF)
-
-
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_TURN, _REST = 21, 43
-
-
-class Counts:
-    """Sums of counts by 64-bit key, in bounded memory; ``named`` are columns of the keys."""
-
-    def __init__(self):
-        self.keys: list[np.ndarray] = []
-        self.sums: list[np.ndarray] = []
-        self.named: list[tuple[np.ndarray, ...]] = []
-        self.held = 0
-
-    def add(self, keys: np.ndarray, *named: np.ndarray) -> None:
-        k, first, n = np.unique(keys, return_index=True, return_counts=True)
-        self.keys.append(k)
-        self.sums.append(n)
-        self.named.append(tuple(x[first] for x in named))
-        self.held += len(k)
-
-    def fold(self) -> None:
-        if len(self.keys) > 1:
-            k, first, inverse = np.unique(np.concatenate(self.keys), return_index=True, return_inverse=True)
-            n = np.bincount(inverse, np.concatenate(self.sums)).astype(np.int64)
-            named = tuple(np.concatenate(x)[first] for x in zip(*self.named))
-            self.keys, self.sums, self.named, self.held = [k], [n], [named], len(k)
-
-    def full(self) -> bool:
-        if self.held > 2 * FLUSH:
-            self.fold()
-        return self.held > FLUSH
-
-    def take(self) -> Iterator[tuple[np.ndarray, ...]]:
-        """Keys, their columns, and sums."""
-        self.fold()
-        for k, named, n in zip(self.keys, self.named, self.sums):
-            for at in range(0, len(k), 200_000):
-                yield tuple(x[at : at + 200_000] for x in (k, *named, n))
-        self.keys, self.sums, self.named, self.held = [], [], [], 0
-
-
-def _tokens(texts: list[str], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of all texts in one array, and where each text ends."""
-    parts, ends = [], []
-    at = 0
-    for text in texts:
-        h = hashes.of(words_of(text))
-        parts += [h, np.array([END])]
-        at += len(h) + 1
-        ends.append(at)
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.array(ends, dtype=np.int64)
-
-
-def count_words(docs: DataFrame) -> DataFrame:
-    """``word, c``: occurrences of each token by its hash."""
+_ROWS = pa.schema([("doc_id", pa.int64()), ("learn", pa.bool_()), ("text", pa.string())])
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), Counts()
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for k, n in counts.take():
-                yield batch_of(word=k.view(np.int64), c=n.astype(np.int64))
-
-        for batch in batches:
-            counts.add(_tokens(texts_of(batch), hashes)[0])
-            if counts.full():
-                yield from rows()
-        yield from rows()
 
-    return map_batches(docs, ["text"], task, "word bigint, c bigint").groupBy("word").agg(F.sum("c").alias("c"))
+def pack(values: np.ndarray) -> bytes:
+    """64-bit integers, small ones in few bytes: bytes of equal weight together, compressed."""
+    planes = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _ngrams(tokens: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For pairs and triples: n, where each starts, its context and its lower part, which
-    are the hashes of its first n - 1 and last n - 1 words. None runs over the end of a text."""
-    inner = np.ones(len(tokens), dtype=bool)
-    inner[ends - 1] = False
-    at = np.flatnonzero(inner[:-1])
-    yield 2, at, tokens[at], tokens[at + 1]
-    pairs = tokens[:-1] ^ (tokens[1:] << np.uint64(_TURN) | tokens[1:] >> np.uint64(_REST))
-    at = np.flatnonzero(inner[:-2] & inner[1:-1])
-    yield 3, at, pairs[at], pairs[at + 1]
+def unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
 
 
-def _pair_hash() -> Column:
-    """The hash that ``_ngrams`` gives to the pair of words ``context, lower``."""
-    turned = F.shiftleft("lower", _TURN).bitwiseOR(F.shiftrightunsigned("lower", _REST))
-    return F.col("context").bitwiseXOR(turned)
+def _to_bytes(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
+    with pa.ipc.new_stream(sink, rows.schema, options=options) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
 
 
-def _key(context: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    return mix(mix(context) + lower * _ODD)
+def _from_bytes(packed: bytes) -> pa.Table:
+    return pa.ipc.open_stream(packed).read_all().combine_chunks()
 
 
-def count_ngrams(docs: DataFrame) -> DataFrame:
-    """``n, context, lower, c``: occurrences of all pairs and triples."""
+def _tokens(rows: pa.Table, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens of all texts in one array, where each text ends, and the row of each token."""
+    parts, lengths = [np.zeros(0, np.uint64)], []
+    for text in rows.column("text").to_pylist():
+        h = hashes.of(words_of(text or ""))
+        parts += [h, np.array([END])]
+        lengths.append(len(h) + 1)
+    return np.concatenate(parts), np.cumsum(lengths, dtype=np.int64), np.repeat(np.arange(len(lengths)), lengths)
+
+
+def _ngrams(tokens: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For words, pairs, triples: the places of their last words, and one hash for each.
+    None runs over the end of a text."""
+    yield np.arange(len(tokens)), tokens
+    first = np.zeros(len(tokens), dtype=bool)
+    first[ends[:-1]] = True
+    first[:1] = True
+    pairs = np.zeros(len(tokens), np.uint64)
+    pairs[1:] = mix(mix(tokens[:-1]) + tokens[1:] * _ODD)
+    at = np.flatnonzero(~first)
+    yield at, pairs[at]
+    second = np.zeros(len(tokens), dtype=bool)
+    second[1:] = first[:-1]
+    at = np.flatnonzero(~first & ~second)
+    yield at, mix(mix(pairs[at - 1]) + tokens[at] * _ODD)
+
+
+def blocks(docs: DataFrame, learn: Column, size: int = BLOCK) -> DataFrame:
+    """``block, tokens, learned, rows``: the rows of ``docs`` in blocks, and how many tokens
+    they hold, and those to learn from."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), {2: Counts(), 3: Counts()}
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for n, held in counts.items():
-                for k, context, lower, c in held.take():
-                    yield batch_of(
-                        n=np.full(len(k), n, dtype=np.int32), context=context.view(np.int64),
-                        lower=lower.view(np.int64), c=c.astype(np.int64),
-                    )
+        number = TaskContext.get().partitionId() << 32
+        held: list[pa.Table] = []
+        filled = 0
+
+        def block() -> pa.RecordBatch:
+            rows = pa.concat_tables(held).combine_chunks()
+            lengths = np.array([len((t or "").encode("utf-8", "surrogatepass").split()) + 1 for t in rows.column("text").to_pylist()])
+            learned = rows.column("learn").to_numpy(zero_copy_only=False).astype(bool)
+            return batch_of(
+                block=[number], tokens=[int(lengths.sum())], learned=[int(lengths[learned].sum())],
+                rows=pa.array([_to_bytes(rows)], pa.binary()),
+            )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                for n, _, context, lower in _ngrams(*_tokens(texts_of(batch.slice(at, 1000)), hashes)):
-                    counts[n].add(_key(context, lower), context, lower)
-                if counts[2].full() or counts[3].full():
-                    yield from rows()
-        yield from rows()
-
-    counted = map_batches(docs, ["text"], task, "n int, context bigint, lower bigint, c bigint")
-    return counted.groupBy("n", "context", "lower").agg(F.sum("c").alias("c"))
-
-
-def _find(known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of values in a sorted array, and which of them are there."""
-    if not len(known):
-        return np.zeros(len(values), dtype=np.int64), np.zeros(len(values), dtype=bool)
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-    return at, known[at] == values
-
-
-class Automaton(NamedTuple):
-    """The automaton itself, for vocabularies that fit into memory: the tests hold the
-    sums of weights against its paths. State 0 is the root, 1 + i the context of word i,
-    then contexts of two words."""
-
-    context: np.ndarray  # sorted hashes of the words that contexts are made of
-    arcs: dict[int, tuple[float, int]]  # state * size + word -> log10 probability, next state
-    fail: list[int]
-    backoff: list[float]  # log10
-    to_root: list[float]  # sum of the backoffs down to the root
-    root: np.ndarray  # log10 probability of each context word at the root
-
-    def traverse(self, ids: list[int]) -> float:
-        """Log10 probability of a text, less the root's part for words outside the
-        contexts (-1), whose probability does not depend on the state."""
-        arcs, fail, backoff, to_root, root = self.arcs, self.fail, self.backoff, self.to_root, self.root
-        size = len(self.context)
-        total, state = 0.0, 0
-        for word in ids:
-            if word < 0:
-                total += to_root[state]
-                state = 0
-                continue
-            while True:
-                arc = arcs.get(state * size + word)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                if state == 0:
-                    total += root[word]
-                    state = 1 + word
-                    break
-                total += backoff[state]
-                state = fail[state]
-        return total
-
-
-def build(
-    context: np.ndarray, context_counts: np.ndarray, pairs: dict[int, int], triples: dict[int, int], n: int, v: int
-) -> Automaton:
-    size = len(context)
-    norm = n + 0.5 * (v + 1)
-    root = (context_counts + 0.5) / norm
-    state_of: dict[int, int] = {}
-    for key in triples:
-        state_of.setdefault(key // size, 0)
-    for k, pair in enumerate(sorted(p for p in state_of if p in pairs)):
-        state_of[pair] = 1 + size + k
-    state_of = {p: s for p, s in state_of.items() if s}
-    total = 1 + size + len(state_of)
-
-    def next_state(pair: int) -> int:
-        return state_of.get(pair, 1 + pair % size)
-
-    arcs: dict[int, tuple[float, int]] = {}
-    kept, lower = np.zeros(total), np.zeros(total)
-    given: dict[int, float] = {}
-    for pair, c in pairs.items():
-        u, w = divmod(pair, size)
-        given[pair] = p = (c - DISCOUNT) / float(context_counts[u])
-        arcs[(1 + u) * size + w] = (float(np.log10(p)), next_state(pair))
-        kept[1 + u] += p
-        lower[1 + u] += root[w]
-    backoff = np.ones(total)
-    words = slice(1, 1 + size)
-    backoff[words] = (1 - kept[words]) / (1 - lower[words])
-    fail = [0] * (1 + size) + [0] * len(state_of)
-    for pair, s in state_of.items():
-        fail[s] = 1 + pair % size
-    for key, c in triples.items():
-        pair, w = divmod(key, size)
-        s = state_of.get(pair)
-        if s is None:
-            continue
-        p = (c - DISCOUNT) / pairs[pair]
-        middle = pair % size
-        arcs[s * size + w] = (float(np.log10(p)), next_state(middle * size + w))
-        kept[s] += p
-        lower[s] += given.get(middle * size + w, backoff[1 + middle] * root[w])
-    longer = slice(1 + size, total)
-    backoff[longer] = (1 - kept[longer]) / (1 - lower[longer])
-    logs = np.log10(np.maximum(backoff, 1e-300)).tolist()
-    to_root = [0.0] * total
-    for s in range(1, total):
-        to_root[s] = logs[s] + (to_root[fail[s]] if fail[s] else 0.0)
-    return Automaton(context, arcs, fail, logs, to_root, np.log10(root))
-
-
-class Model(NamedTuple):
-    rest: DataFrame  # context, lower, c, weight: staged, words (context 0) and arcs that are not frequent
-    n: int
-    v: int
-    words: tuple[np.ndarray, np.ndarray, np.ndarray]  # frequent: sorted hashes, counts, weights
-    arcs: tuple[np.ndarray, np.ndarray]  # frequent: sorted keys, weights
-
-
-def _backoff(arcs: DataFrame) -> DataFrame:
-    """``context, backoff``: log10 of what the arcs leave, over what the shorter context
-    gives to all other words."""
-    left = (1 - F.sum("p")) / (1 - F.sum("low"))
-    return arcs.groupBy("context").agg(F.log10(F.greatest(left, F.lit(1e-300))).alias("backoff"))
-
-
-def train(docs: DataFrame, frequent: float = FREQUENT, least: int = LEAST) -> Model:
-    """Counts all texts of ``docs``. At most 1/frequent words and twice as many arcs pass
-    through the driver."""
-    counts = stage(count_words(docs), "lm-words")
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    grams = stage(count_ngrams(docs).filter(F.col("c") >= least), "lm-ngrams")
-    given = (F.col("c") - DISCOUNT) / F.col("total")
-
-    pairs = (
-        grams.filter("n = 2")
-        .join(counts.select(F.col("word").alias("context"), F.col("c").alias("total")), "context")
-        .join(counts.select(F.col("word").alias("lower"), F.col("c").alias("own")), "lower")
-    )
-    low = (F.col("own") + 0.5) / F.lit(n + 0.5 * (v + 1))
-    pairs = stage(pairs.select("context", "lower", _pair_hash().alias("pair"), "c", given.alias("p"), low.alias("low")), "lm-pairs")
-    # Both pairs of a triple occur as often as it does, so they are there.
-    triples = (
-        grams.filter("n = 3")
-        .join(pairs.select(F.col("pair").alias("context"), F.col("c").alias("total")), "context")
-        .join(pairs.select(F.col("pair").alias("lower"), F.col("p").alias("low")), "lower")
-    )
-    triples = stage(triples.select("context", "lower", "c", given.alias("p"), "low"), "lm-triples")
-
-    one, two = _backoff(pairs), _backoff(triples)
-    arc = F.log10("p") - F.log10("low") - F.col("backoff")
-    of_words = counts.join(one.withColumnRenamed("context", "word"), "word", "left").select(
-        F.lit(0).cast("bigint").alias("context"), F.col("word").alias("lower"), "c",
-        F.coalesce("backoff", F.lit(0.0)).alias("weight"),
-    )
-    further = two.select(F.col("context").alias("pair"), F.col("backoff").alias("further"))
-    of_pairs = pairs.join(one, "context").join(further, "pair", "left").select(
-        "context", "lower", "c", (arc + F.coalesce("further", F.lit(0.0))).alias("weight")
-    )
-    of_triples = triples.join(two, "context").select("context", "lower", "c", arc.alias("weight"))
-    weights = stage(of_words.unionByName(of_pairs).unionByName(of_triples), "lm-weights")
-
-    often = F.col("c") >= max(frequent * n, 1)
-    shared = weights.filter(often).toArrow()
-    context, lower, c, weight = (shared.column(k).to_numpy() for k in ("context", "lower", "c", "weight"))
-    word = context == 0
-    order = np.argsort(lower[word].view(np.uint64))
-    words = (lower[word].view(np.uint64)[order], c[word][order], weight[word][order])
-    keys = _key(context[~word].view(np.uint64), lower[~word].view(np.uint64))
-    order = np.argsort(keys)
-    return Model(weights.filter(~often), n, v, words, (keys[order], weight[~word][order]))
-
-
-_ROWS = (
-    "r bigint, doc_id bigint, n_tokens bigint, n_known bigint, base double, score double, context bigint, "
-    "lower bigint, times bigint"
-)
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_tokens, n_known, base_score, score``."""
-    norm = model.n + 0.5 * (model.v + 1)
-    words, counts, backoffs = model.words
-    shared = docs.sparkSession.sparkContext.broadcast((words, np.log10((counts + 0.5) / norm), backoffs, *model.arcs))
+            sizes = np.array([len(t or "") for t in batch.column("text").to_pylist()], dtype=np.int64)
+            rows = pa.Table.from_arrays([batch.column(k).cast(_ROWS.field(k).type) for k in _ROWS.names], schema=_ROWS)
+            begin = 0
+            for at, n in enumerate(sizes.tolist(), 1):
+                filled += n + 1
+                if filled >= size:
+                    held.append(rows.slice(begin, at - begin))
+                    yield block()
+                    held, filled, begin = [], 0, at
+                    number += 1
+            if begin < len(rows):
+                held.append(rows.slice(begin))
+        if held:
+            yield block()
+
+    given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(learn, F.lit(False)).alias("learn"), "text")
+    return map_batches(given, _ROWS.names, task, "block bigint, tokens bigint, learned bigint, rows binary")
+
+
+def requests(staged: DataFrame, bits: int) -> DataFrame:
+    """``n, bucket, block, keys, own``: the distinct n-grams of each block, sorted, and their
+    counts in its rows to learn from, cut at the leading ``bits`` of their hashes."""
+    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                yield from _scored(batch.slice(at, 1000), hashes, *shared.value)
-
-    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("r"))
-    rows = map_batches(numbered, ["r", "doc_id", "text"], task, _ROWS)
-    # The weights of a row's other words, pairs and triples. The row's own entry has a word that nothing matches.
-    found = rows.join(model.rest, ["context", "lower"], "left").filter("context = 0 OR weight IS NOT NULL")
-    times, c = F.coalesce("times", F.lit(0)), F.coalesce("c", F.lit(0))
-    word = F.col("times").isNotNull() & (F.col("context") == 0)
-    rare = F.when(word, times * F.log10((c + 0.5) / F.lit(norm))).otherwise(0.0)
-    known = F.when(word & (c > 0), times).otherwise(0)
-    return (
-        found.groupBy("r")
-        .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max("n_tokens").alias("n_tokens"),
-            F.sum(F.coalesce("n_known", known)).alias("n_known"),
-            F.sum(F.coalesce("base", F.lit(0.0)) + rare).alias("base_score"),
-            F.sum(F.coalesce("score", F.lit(0.0)) + rare + times * F.coalesce("weight", F.lit(0.0))).alias("score"),
-        )
-        .drop("r")
-    )
-
-
-def _scored(
-    part: pa.RecordBatch, hashes: WordHashes, words: np.ndarray, logs: np.ndarray, backoffs: np.ndarray,
-    arcs: np.ndarray, weights: np.ndarray,
-) -> Iterator[pa.RecordBatch]:
-    tokens, ends = _tokens(texts_of(part), hashes)
-    lengths = np.diff(ends, prepend=0)
-    row = np.repeat(np.arange(len(ends)), lengths)
-    at, known = _find(words, tokens)
-    per_row = lambda rows, values: np.bincount(rows, values, len(ends)).astype(np.float64)
-    base = per_row(row[known], logs[at[known]])
-    scores = base + per_row(row[known], backoffs[at[known]])
-    rare = ~known
-    none = np.zeros(int(rare.sum()), dtype=np.uint64)
-    left = [(row[rare], none, tokens[rare], tokens[rare])]
-    for _, start, context, lower in _ngrams(tokens, ends):
-        owner, key = row[start], _key(context, lower)
-        at, known_arc = _find(arcs, key)
-        scores += per_row(owner[known_arc], weights[at[known_arc]])
-        other = ~known_arc
-        left.append((owner[other], context[other], lower[other], key[other]))
-    r = part.column("r").to_numpy()
-    yield _rows(
-        len(ends), r=part.column("r"), doc_id=part.column("doc_id"), n_tokens=lengths,
-        n_known=per_row(row, known).astype(np.int64), base=base, score=scores, context=np.zeros(len(ends), dtype=np.int64),
-        lower=mix(r.view(np.uint64) + END).view(np.int64),
-    )
-    for owner, context, lower, key in left:
-        _, first, times = np.unique(mix(key + mix(owner.astype(np.uint64) + END)), return_index=True, return_counts=True)
-        for k in range(0, len(first), 200_000):
-            some = first[k : k + 200_000]
-            yield _rows(
-                len(some), r=r[owner[some]], context=context[some].view(np.int64), lower=lower[some].view(np.int64),
-                times=times[k : k + 200_000],
+            for block, packed in zip(batch.column("block").to_pylist(), batch.column("rows")):
+                rows = _from_bytes(packed.as_buffer())
+                tokens, ends, row = _tokens(rows, hashes)
+                learned = rows.column("learn").to_numpy()[row]
+                for n, (at, keys) in enumerate(_ngrams(tokens, ends), 1):
+                    keys, place = np.unique(keys, return_inverse=True)
+                    own = np.bincount(place, learned[at], len(keys)).astype(np.uint64)
+                    cuts = [*np.searchsorted(keys, edges).tolist(), len(keys)]
+                    for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                        if a < b:
+                            steps = np.diff(keys[a:b], prepend=np.uint64(0))
+                            yield batch_of(
+                                n=pa.array([n], pa.int32()), bucket=[bucket], block=[block],
+                                keys=pa.array([pack(steps)], pa.binary()), own=pa.array([pack(own[a:b])], pa.binary()),
+                            )
+
+    return map_batches(staged, ["block", "rows"], task, "n int, bucket bigint, block bigint, keys binary, own binary")
+
+
+def answers(asked: DataFrame, buckets: int) -> DataFrame:
+    """``n, bucket, block, counts, kinds``: the totals of each request, in its order. One row
+    of each bucket has in ``kinds`` how many of its n-grams the learned texts hold."""
+
+    def total(n: int, bucket: int, group: list[tuple[int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        keys = [np.cumsum(unpack(k), dtype=np.uint64) for _, k, _ in group]
+        known, place = np.unique(np.concatenate(keys), return_inverse=True)
+        own = np.concatenate([unpack(o) for _, _, o in group])
+        # Integer sums, as doubles would round beyond 2^53.
+        counts = np.zeros(len(known), np.uint64)
+        np.add.at(counts, place, own)
+        cuts = np.cumsum([len(k) for k in keys])[:-1]
+        kinds = int((counts > 0).sum())
+        for (block, _, _), part in zip(group, np.split(place, cuts)):
+            yield batch_of(
+                n=pa.array([n], pa.int32()), bucket=[bucket], block=[block],
+                counts=pa.array([pack(counts[part])], pa.binary()), kinds=[kinds],
             )
+            kinds = 0
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple[int, int, int, bytes, bytes]]:
+            for batch in batches:
+                yield from zip(*(c.to_pylist() for c in batch.columns))
+
+        for (n, bucket), group in groupby(rows(), key=lambda r: r[:2]):
+            yield from total(n, bucket, [r[2:] for r in group])
+
+    # The count of partitions is given, so a large shuffle is not cut into few.
+    gathered = asked.repartition(buckets, "n", "bucket").sortWithinPartitions("n", "bucket")
+    return map_batches(gathered, asked.columns, task, "n int, bucket bigint, block bigint, counts binary, kinds bigint")
+
+
+class Automaton:
+    """The part of the automaton that a block's texts pass: per place of a token, the arcs
+    that its word may have after the contexts before it, and the failure arcs of these.
+    Weights are log10; an arc that is not there has weight 1."""
+
+    def __init__(self, counts: list[np.ndarray], norm: float, mass: tuple[float, float]):
+        """``counts``: of the word, pair and triple that end at each place, 0 where none does."""
+        one, two, three = counts
+        before_one, before_two = (np.concatenate([np.zeros(1), c[:-1]]) for c in (one, two))
+        p = (one + 0.5) / norm
+        self.root, self.known = np.log10(p), one > 0
+        p = (two + mass[0] * p) / (before_one + mass[0])
+        self.after_word = np.where(two > 0, np.log10(p), 1.0)
+        self.word_fails = np.log10(mass[0] / (before_one + mass[0]))
+        p = (three + mass[1] * p) / (before_two + mass[1])
+        self.after_pair = np.where(three > 0, np.log10(p), 1.0)
+        self.pair_fails = np.log10(mass[1] / (before_two + mass[1]))
+
+    def traverse(self, begin: int, end: int) -> float:
+        """Log10 probability of the text at these places."""
+        total, state = 0.0, 0  # length of the context that the state stands for
+        for at in range(begin, end, STEPS):
+            part = slice(at, min(at + STEPS, end))
+            arcs = (self.after_pair, self.pair_fails, self.after_word, self.word_fails, self.root, self.known)
+            for pair_arc, pair_fails, word_arc, word_fails, root_arc, known in zip(*(a[part].tolist() for a in arcs)):
+                if state == 2:
+                    if pair_arc <= 0:
+                        total += pair_arc
+                        continue
+                    total += pair_fails
+                    state = 1
+                if state == 1:
+                    if word_arc <= 0:
+                        total += word_arc
+                        state = 2
+                        continue
+                    total += word_fails
+                total += root_arc
+                state = 1 if known else 0
+        return total
 
 
-def _rows(count: int, **given) -> pa.RecordBatch:
-    kinds = {"base": pa.float64(), "score": pa.float64()}
-    names = [c.split()[0] for c in _ROWS.split(", ")]
-    return batch_of(**{n: given.get(n, pa.nulls(count, kinds.get(n, pa.int64()))) for n in names})
+def _scored(staged: DataFrame, answered: DataFrame, norm: float, mass: tuple[float, float]) -> DataFrame:
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for packed, found in zip(batch.column("rows"), batch.column("found")):
+                rows = _from_bytes(packed.as_buffer())
+                tokens, ends, row = _tokens(rows, hashes)
+                parts: dict[int, list[np.ndarray]] = {1: [], 2: [], 3: []}
+                for part in found.as_py():
+                    parts[part["n"]].append(unpack(part["counts"]))
+                counts = []
+                for n, (at, keys) in enumerate(_ngrams(tokens, ends), 1):
+                    here = np.zeros(len(tokens))
+                    if len(at):
+                        here[at] = np.concatenate(parts[n])[np.unique(keys, return_inverse=True)[1]]
+                    counts.append(here)
+                automaton = Automaton(counts, norm, mass)
+                begins = [0, *ends[:-1].tolist()]
+                yield batch_of(
+                    doc_id=rows.column("doc_id").combine_chunks(), n_tokens=np.diff(ends, prepend=0),
+                    n_known=np.bincount(row, automaton.known, len(ends)).astype(np.int64),
+                    base_score=np.bincount(row, automaton.root, len(ends)),
+                    score=np.array([automaton.traverse(a, b) for a, b in zip(begins, ends.tolist())]),
+                )
+
+    # A block has at most one answer per bucket and length, in all as many counts as it has n-grams.
+    found = answered.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("n", "bucket", "counts"))).alias("found"))
+    columns = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+    return map_batches(staged.join(found, "block"), ["rows", "found"], task, columns)
+
+
+def score(
+    docs: DataFrame, learn: Column, mass: tuple[float, float] = MASS, size: int = BLOCK, bucket: int = BUCKET
+) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_tokens, n_known, train_tokens, base_score, score``,
+    with a model of the rows for which ``learn`` is true."""
+    staged = stage(blocks(docs, learn, size), "lm-blocks")
+    tokens, learned = staged.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("learned"), F.lit(0))).first()
+    bits = max(1, int(np.ceil(np.log2(max(tokens / bucket, 1)))))
+    answered = stage(answers(requests(staged, bits), 3 << bits), "lm-answers")
+    kinds = answered.filter("n = 1").agg(F.coalesce(F.sum("kinds"), F.lit(0))).first()[0]
+    scored = _scored(staged, answered, learned + 0.5 * (kinds + 1), mass)
+    return scored.withColumn("train_tokens", F.lit(int(learned)).cast("long"))
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out: Column = F.coalesce(fold() == 1, F.lit(False))
-    model = train(docs.filter(fold() != 1))
-    return score(docs, model).select(
-        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(int(model.n)).cast("long").alias("train_tokens"),
-        "base_score", "score",
-    )
+    return score(docs, fold() != 1).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
 
 
 QUERIES = {"op9_lm_score": op9_lm_score}
