@@ -28,8 +28,9 @@ Nothing but two sums passes through the driver, and nothing is broadcast by dema
 Null texts count as empty: one end token. Repeated rows, also those with one doc_id, are
 scored (and learned) each by itself; other columns are not read, so names cannot clash.
 An empty table gives no rows; with nothing to learn from every token is unknown. A row
-whose ``learn`` is null is not learned from. Tokens and n-grams are told apart by 64-bit
-hashes.
+whose ``learn`` is null is not learned from. Words are told apart by 64-bit hashes, pairs
+and triples by 56 bits: among ten thousand million of them, one new n-gram in seven
+million is taken for a learned one.
 """
 
 from __future__ import annotations
@@ -51,9 +52,13 @@ from .texts import WordHashes, batch_of, map_batches, mix, table, words_of
 #: Mass of the shorter context's distribution after a word, and after a pair.
 MASS = (30.0, 8.0)
 #: A block ends with the row that brings it to so many characters.
-BLOCK = 8_000_000
+BLOCK = 5_000_000
 #: Expected n-grams sent to a bucket by all blocks, at most (times two).
 BUCKET = 2_000_000
+#: Leading bits by which pairs and triples are told apart (words: all 64).
+WIDTH = 56
+#: Words whose hashes a task remembers.
+WORDS = 250_000
 #: Positions whose weights a task holds as Python numbers at a time.
 STEPS = 50_000
 
@@ -97,19 +102,20 @@ def _tokens(rows: pa.Table, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray,
 
 def _ngrams(tokens: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For words, pairs, triples: the places of their last words, and one hash for each.
-    None runs over the end of a text."""
+    None runs over the end of a text. Hashes of words have 64 bits, the others ``WIDTH``."""
     yield np.arange(len(tokens)), tokens
     first = np.zeros(len(tokens), dtype=bool)
     first[ends[:-1]] = True
     first[:1] = True
     pairs = np.zeros(len(tokens), np.uint64)
     pairs[1:] = mix(mix(tokens[:-1]) + tokens[1:] * _ODD)
+    cut = np.uint64(64 - WIDTH)
     at = np.flatnonzero(~first)
-    yield at, pairs[at]
+    yield at, pairs[at] >> cut
     second = np.zeros(len(tokens), dtype=bool)
     second[1:] = first[:-1]
     at = np.flatnonzero(~first & ~second)
-    yield at, mix(mix(pairs[at - 1]) + tokens[at] * _ODD)
+    yield at, mix(mix(pairs[at - 1]) + tokens[at] * _ODD) >> cut
 
 
 def blocks(docs: DataFrame, learn: Column, size: int = BLOCK) -> DataFrame:
@@ -153,10 +159,10 @@ def blocks(docs: DataFrame, learn: Column, size: int = BLOCK) -> DataFrame:
 def requests(staged: DataFrame, bits: int) -> DataFrame:
     """``n, bucket, block, keys, own``: the distinct n-grams of each block, sorted, and their
     counts in its rows to learn from, cut at the leading ``bits`` of their hashes."""
-    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    edges = {n: np.arange(1 << bits, dtype=np.uint64) << np.uint64((64 if n == 1 else WIDTH) - bits) for n in (1, 2, 3)}
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = WordHashes(WORDS)
         for batch in batches:
             for block, packed in zip(batch.column("block").to_pylist(), batch.column("rows")):
                 rows = _from_bytes(packed.as_buffer())
@@ -165,7 +171,7 @@ def requests(staged: DataFrame, bits: int) -> DataFrame:
                 for n, (at, keys) in enumerate(_ngrams(tokens, ends), 1):
                     keys, place = np.unique(keys, return_inverse=True)
                     own = np.bincount(place, learned[at], len(keys)).astype(np.uint64)
-                    cuts = [*np.searchsorted(keys, edges).tolist(), len(keys)]
+                    cuts = [*np.searchsorted(keys, edges[n]).tolist(), len(keys)]
                     for bucket, (a, b) in enumerate(zip(cuts, cuts[1:])):
                         if a < b:
                             steps = np.diff(keys[a:b], prepend=np.uint64(0))
@@ -254,7 +260,7 @@ class Automaton:
 
 def _scored(staged: DataFrame, answered: DataFrame, norm: float, mass: tuple[float, float]) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = WordHashes(WORDS)
         for batch in batches:
             for packed, found in zip(batch.column("rows"), batch.column("found")):
                 rows = _from_bytes(packed.as_buffer())
