@@ -256,6 +256,35 @@ def test_decontamination_of_short_items(spark, monkeypatch):
         assert all(x.share == 1 for x in got if x.item_id < 1100)
 
 
+def test_every_window_counts(spark):
+    """Runs of nine words of twelve hold two of five windows, at any place and of any item; the
+    counts are those of all windows."""
+    r = random.Random(8)
+    word = lambda: "".join(r.choices("bcdfghklmnprstvw", k=6))
+    items = {k: [word() for _ in range(12)] for k in range(40)}
+    rows = [(k, " ".join([*(word() for _ in range(r.randint(10, 60))), *w[k % 4 : k % 4 + 9], *(word() for _ in range(30))]))
+            for k, w in items.items()]
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id bigint, text string")
+    got = op03_decontaminate.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), benchmark).collect()
+    assert sorted((x.doc_id, x.item_id, x.matched, x.anchors) for x in got) == [(k, k, 2, 5) for k in items]
+
+
+def test_items_of_values_and_names(spark):
+    """Windows with hardly a plain word count where they stand verbatim, and changed ones do not."""
+    r = random.Random(9)
+    number, pad = (lambda: str(r.randint(10**6, 10**7))), prose(random.Random(1), 60)
+    sums = [" ".join(number() for _ in range(n)) for n in (1, 3, 7, 8, 30)]
+    names = "visit Oslo Paris London Rome Berlin Madrid Lisbon Vienna Prague Athens Dublin"
+    mixed = f"{sums[4]} of which the first is larger than every other one here"
+    items = dict(enumerate([*sums, names, mixed]))
+    docs = [(k, f"{pad} {text} {pad}") for k, text in items.items()]
+    docs += [(20, f"{pad} {' '.join(number() for _ in range(40))} {pad}"), (21, mixed.replace(sums[4], " ".join(number() for _ in range(30)))),
+             (22, pad), (23, " ".join(["7"] * 300))]
+    frames = [spark.createDataFrame(x, f"{c} bigint, text string") for x, c in ((docs, "doc_id"), (list(items.items()), "item_id"))]
+    found = {(x.doc_id, x.item_id) for x in op03_decontaminate.contaminated(*frames).collect()}
+    assert {(k, k) for k in items} | {(6, 4), (4, 6), (21, 6)} == found
+
+
 def test_decontamination_of_rows_without_id(spark, texts):
     """One contaminated row without a doc_id takes no clean one with it."""
     question = "A farmer in Ohio sells 12 crates of ripe apples for 30 dollars and keeps 12 crates for winter storage at home."

@@ -1,35 +1,41 @@
 """Benchmark decontamination by templates.
 
 Words become a template: numbers, names and units turn into typed placeholders, all
-other words lose case and outer punctuation. Windows of eight template words are
-hashed, and of every four neighbouring windows the smallest hash is an anchor, so any
-common run of eleven words shares an anchor, and a question whose values were changed
-has the anchors of the original. Documents meet benchmark items by a hash join on
-anchors; what stood in the slots comes along. An anchor counts if it is consistent with its
-alignment: each of its slots holds the item's own value, or the value that stands for it
-most often there. An item is in a document if enough of its anchors count.
-
-The benchmark side is broadcast only after its anchors are counted and found to be at
-most ``BROADCAST_ANCHORS``; beyond that the same join is a sort-merge join, whose hot
+other words lose case and outer punctuation. Every window of eight template words is
+hashed, at every place of items and documents alike, and is an anchor, so a question whose
+values were changed has the anchors of the original. Documents meet benchmark items by a
+hash join on anchors; what stood in the slots comes along. An anchor counts if it is
+consistent with its alignment: each of its slots holds the item's own value, or the value
+that stands for it most often there. An item is in a document if enough of its anchors count.
+
+A window with fewer than four plain words is too general for placeholders: many other
+texts have its template. It is hashed with its own values and counts where it stands
+verbatim. An item's share is that of all its anchors, or of those with placeholders alone
+where that is more, as changed values change every general window.
+
+Most windows of documents are no item's. A filter of 2^``FILTER_BITS`` bits, whose size does
+not depend on the benchmark, is broadcast, and only windows whose bit is set are handed on;
+the join is exact, so the filter loses nothing and what it lets through wrongly is dropped
+there. Windows without slots say the same wherever they stand: each is listed once for a text.
+
+The benchmark side of the join is broadcast only after its anchors are counted and found to be
+at most ``BROADCAST_ANCHORS``; beyond that the same join is a sort-merge join, whose hot
 anchors adaptive execution splits. Only matches are shuffled and grouped, by document,
 item and alignment: a group has at most as many rows as the item has anchors.
 
-Items shorter than those eleven words have no such sure anchor in a longer document. They
-get a window of their own length besides, and documents are searched for the windows of
-short items at every place: a short item is found wherever it stands, however short it
-is. Only windows that some short item has are handed on, as long as those are few enough
-to be broadcast.
+Items shorter than a window are one window of their own length, and documents are searched for
+windows of these lengths at every place: a short item is found wherever it stands, however short.
 
 Whole texts are read. Null and empty texts have no anchors, and an empty table of documents
-or items finds nothing. Texts shorter than a window form one window. Rows that share a
-doc_id count as one document, items that share an item_id as one item; of equal texts
-under different ids each is found. Of other columns, whatever their names, none is read. A
-window with fewer than four plain words is too general to count.
+or items finds nothing. Rows that share a doc_id count as one document, items that share an
+item_id as one item; of equal texts under different ids each is found. Of other columns,
+whatever their names, none is read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +47,13 @@ from ..scratch import stage
 from .texts import WordHashes, batch_of, map_batches, table, texts_of, windows
 
 WINDOW = 8
-GROUP = 4
-#: A run of so many words surely shares an anchor; a shorter item does not.
-SURE = WINDOW + GROUP - 1
 LEAST_PLAIN = 4
 #: Share of an item's anchors that must match.
 SHARE = 0.4
 #: A benchmark with more anchors than this (some 40 bytes each) is not broadcast.
 BROADCAST_ANCHORS = 500_000
+#: Bits of the filter for the windows of documents: 8 MB, whatever the benchmark.
+FILTER_BITS = 26
 
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # Words for units, counted as such behind a number.
@@ -63,7 +68,6 @@ UNITS = {
 _NUMBER, _CAPITAL, _ENDS, _UNIT, _EMPTY = (np.uint64(1 << k) for k in range(5))
 _FLAGS = np.uint64(31)
 _HOLDERS = {k: np.uint64(xxhash.xxh3_64_intdigest(k)) for k in ("<number>", "<name>", "<unit>")}
-_NEVER = np.uint64(2**64 - 1)
 
 
 class _Words(WordHashes):
@@ -107,102 +111,95 @@ def template(text: str, words: _Words) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 Template = tuple[np.ndarray, np.ndarray, np.ndarray]
-Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def _windows(code: np.ndarray, slot: np.ndarray, size: int) -> np.ndarray:
+def _windows(made: Template, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all windows, and which of them are general."""
+    code, value, slot = made
     hashes = windows(code, size)
-    plain = np.convolve(~slot, np.ones(size, dtype=np.int64), "valid")
-    return np.where(plain >= min(LEAST_PLAIN, size), hashes, _NEVER)
+    general = np.convolve(~slot, np.ones(size, dtype=np.int64), "valid") < min(LEAST_PLAIN, size)
+    return np.where(general, windows(value, size), hashes) if general.any() else hashes, general
 
 
-def _chosen(made: Template, size: int, hashes: np.ndarray, at: np.ndarray) -> Found:
-    """Size, places and hashes of windows, their slot values in order, and how many each has."""
+def _chosen(made: Template, size: int, hashes: np.ndarray, general: np.ndarray, at: np.ndarray) -> Found:
+    """Size, places and hashes of windows, their slot values in order, how many each has, and
+    which are general. Of equal windows without slots the first one."""
     _, value, slot = made
-    inside = at[:, None] + np.arange(size)
-    held = slot[inside]
-    slots = value[inside][held].view(np.int64)
-    return np.full(len(at), size), at, hashes[at].view(np.int64), slots, held.sum(axis=1)
+    held = slot[at[:, None] + np.arange(size)] & ~general[at, None]
+    bare = np.flatnonzero(~held.any(axis=1))
+    again = np.ones(len(bare), dtype=bool)
+    again[np.unique(hashes[at[bare]], return_index=True)[1]] = False
+    kept = np.ones(len(at), dtype=bool)
+    kept[bare[again]] = False
+    at, held = at[kept], held[kept]
+    slots = value[at[:, None] + np.arange(size)][held].view(np.int64)
+    return np.full(len(at), size), at, hashes[at].view(np.int64), slots, held.sum(axis=1), general[at]
 
 
 def anchors(made: Template) -> list[Found]:
-    code, _, slot = made
-    size = min(WINDOW, len(code))
+    """All windows; a text shorter than a window is one."""
+    size = min(WINDOW, len(made[0]))
     if not size:
         return []
-    hashes = _windows(code, slot, size)
-    group = min(GROUP, len(hashes))
-    count = len(hashes) - group + 1
-    lowest = np.minimum.reduce([hashes[k : k + count] for k in range(group)])
-    chosen = np.zeros(len(hashes), dtype=bool)
-    for k in range(group):
-        chosen[k : k + count] |= hashes[k : k + count] == lowest
-    return [_chosen(made, size, hashes, np.flatnonzero(chosen & (hashes != _NEVER)))]
-
-
-def item_anchors(made: Template) -> list[Found]:
-    """The anchors, and for a short item the window of its whole length."""
-    code, _, slot = made
-    found = anchors(made)
-    if WINDOW < len(code) < SURE:
-        hashes = _windows(code, slot, len(code))
-        found.append(_chosen(made, len(code), hashes, np.flatnonzero(hashes != _NEVER)))
-    return found
+    hashes, general = _windows(made, size)
+    return [_chosen(made, size, hashes, general, np.arange(len(hashes)))]
+
+
+class _Wanted(NamedTuple):
+    """The sizes of the items' windows, and the filter of their hashes."""
 
+    sizes: list[int]
+    bits: np.ndarray
 
-def doc_anchors(made: Template, short: dict[int, np.ndarray | None]) -> list[Found]:
-    """The anchors, and all windows of the sizes of ``short`` whose hashes it lists
-    (sorted; None: all of them)."""
-    code, _, slot = made
-    found = anchors(made)
-    for size, wanted in short.items():
-        if len(code) < size:
-            continue
-        hashes = _windows(code, slot, size)
-        good = hashes != _NEVER
-        if wanted is not None:
-            good &= wanted[np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)] == hashes
-        if size == min(WINDOW, len(code)):
-            good[found[0][1]] = False
-        found.append(_chosen(made, size, hashes, np.flatnonzero(good)))
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        held = self.bits[(hashes >> np.uint64(70 - FILTER_BITS)).astype(np.int64)]
+        return np.flatnonzero((held >> (hashes >> np.uint64(64 - FILTER_BITS) & np.uint64(63))) & np.uint64(1))
+
+
+def doc_anchors(made: Template, wanted: _Wanted) -> list[Found]:
+    """All windows of the sizes that items have and whose hashes the filter lets through."""
+    found = []
+    for size in wanted.sizes:
+        if len(made[0]) >= size:
+            hashes, general = _windows(made, size)
+            found.append(_chosen(made, size, hashes, general, wanted.places(hashes)))
     return found
 
 
 def anchor_rows(rows: DataFrame, key: str, found_in: Callable[[Template], list[Found]]) -> DataFrame:
-    """``<key>, words, size, place, anchor, slots`` for the texts of ``rows``; ``words``
-    is the length of the whole template."""
+    """``<key>, size, place, anchor, slots, general`` for the texts of ``rows``; windows without
+    slots have place 0, as they need no alignment."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
-        none = tuple(np.zeros(0, np.int64) for _ in range(5))
+        none = (*(np.zeros(0, np.int64) for _ in range(5)), np.zeros(0, bool))
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                made = [template(t, words) for t in texts_of(part)]
-                found = [(k, f) for k, m in enumerate(made) for f in found_in(m)]
-                sizes, places, hashes, slots, counts = map(np.concatenate, zip(none, *(f for _, f in found)))
+                found = [(k, f) for k, t in enumerate(texts_of(part)) for f in found_in(template(t, words))]
+                sizes, places, hashes, slots, counts, general = map(np.concatenate, zip(none, *(f for _, f in found)))
                 owner = np.repeat([k for k, _ in found], [len(f[0]) for _, f in found]).astype(np.int64)
-                lengths = np.array([len(m[0]) for m in made], dtype=np.int32)
                 ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 yield batch_of(
-                    owner=part.column(key).take(pa.array(owner)), words=lengths[owner], size=sizes.astype(np.int32),
-                    place=places.astype(np.int32), anchor=hashes.astype(np.int64),
-                    slots=pa.ListArray.from_arrays(ends, slots.astype(np.int64)),
-                ).rename_columns([key, "words", "size", "place", "anchor", "slots"])
+                    owner=part.column(key).take(pa.array(owner)), size=sizes.astype(np.int32),
+                    place=np.where(counts, places, 0).astype(np.int32), anchor=hashes.astype(np.int64),
+                    slots=pa.ListArray.from_arrays(ends, slots.astype(np.int64)), general=general,
+                ).rename_columns([key, "size", "place", "anchor", "slots", "general"])
 
-    kinds = f"{key} bigint, words int, size int, place int, anchor bigint, slots array<bigint>"
+    kinds = f"{key} bigint, size int, place int, anchor bigint, slots array<bigint>, general boolean"
     return map_batches(rows, [key, "text"], task, kinds)
 
 
-def _short_windows(items: DataFrame) -> dict[int, np.ndarray | None]:
-    """By size the window hashes of short items; None instead where they are too many to
-    be broadcast."""
-    short = items.filter(F.col("words") < SURE).select("size", "anchor").distinct()
-    if short.limit(BROADCAST_ANCHORS + 1).count() > BROADCAST_ANCHORS:
-        return {row["size"]: None for row in short.select("size").distinct().collect()}
-    rows = short.toArrow()
-    sizes, hashes = rows.column("size").to_numpy(), rows.column("anchor").to_numpy().view(np.uint64)
-    return {int(k): np.sort(hashes[sizes == k]) for k in np.unique(sizes)}
+def _wanted(items: DataFrame) -> _Wanted:
+    """The filter is put together by Spark, 64 bits in a row."""
+    sizes = [row["size"] for row in items.select("size").distinct().collect()]
+    word = F.expr(f"shiftrightunsigned(anchor, {70 - FILTER_BITS})").alias("word")
+    bit = F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - FILTER_BITS}) & 63 AS int)))")
+    rows = items.groupBy(word).agg(bit.alias("bits")).toArrow()
+    bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+    bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return _Wanted(sorted(sizes), bits)
 
 
 def _fitting(aligned: DataFrame) -> DataFrame:
@@ -232,27 +229,33 @@ def _fitting(aligned: DataFrame) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """``doc_id, item_id, matched, anchors, share, changed``: one row for each document
     and item found in it; ``changed`` says that its slots hold other values."""
-    rows = anchor_rows(benchmark, "item_id", item_anchors)
-    shared = docs.sparkSession.sparkContext.broadcast(_short_windows(rows))
+    rows = stage(anchor_rows(benchmark, "item_id", anchors), "decontaminate-items")
+    shared = docs.sparkSession.sparkContext.broadcast(_wanted(rows))
     items = rows.select(
-        "item_id", F.col("place").alias("item_place"), "anchor", F.col("slots").alias("item_slots")
+        "item_id", F.col("place").alias("item_place"), "anchor", F.col("slots").alias("item_slots"), "general"
+    )
+    typed = F.when(~F.col("general"), F.col("anchor"))
+    totals = items.groupBy("item_id").agg(
+        F.countDistinct("anchor").alias("anchors"), F.countDistinct(typed).alias("typed_anchors")
     )
-    totals = items.groupBy("item_id").agg(F.countDistinct("anchor").alias("anchors"))
     if items.limit(BROADCAST_ANCHORS + 1).count() <= BROADCAST_ANCHORS:
         items = F.broadcast(items)
-    hits = anchor_rows(docs, "doc_id", lambda made: doc_anchors(made, shared.value)).join(items, "anchor")
+    found_in = lambda made: doc_anchors(made, shared.value)
+    hits = anchor_rows(docs, "doc_id", found_in).drop("general").join(items, "anchor")
     pairs = F.arrays_zip("item_slots", "slots").alias("pairs")
     aligned = hits.groupBy("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift")).agg(
-        F.collect_list(F.struct("anchor", pairs)).alias("rows")
+        F.collect_list(F.struct("anchor", "general", pairs)).alias("rows")
     )
     differs = F.exists("rows", lambda r: F.exists(r["pairs"], lambda p: p["item_slots"] != p["slots"]))
+    distinct = lambda rows: F.size(F.array_distinct(F.flatten(F.collect_list(rows["anchor"])))).cast("long")
     found = _fitting(aligned).groupBy("doc_id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list(F.col("rows.anchor"))))).cast("long").alias("matched"),
+        distinct(F.col("rows")).alias("matched"),
+        distinct(F.filter("rows", lambda r: ~r["general"])).alias("typed"),
         F.bool_or(differs).alias("changed"),
     )
     return (
         found.join(totals, "item_id")
-        .withColumn("share", F.col("matched") / F.col("anchors"))
+        .withColumn("share", F.greatest(F.col("matched") / F.col("anchors"), F.try_divide("typed", "typed_anchors")))
         .filter(F.col("share") >= share)
         .select("doc_id", "item_id", "matched", "anchors", "share", "changed")
     )
