@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -612,6 +613,17 @@ def test_bpe_of_words_by_rank():
     assert len(quick) > 20_000 and encoder.ranked.ids(quick) == encoder._by_library(quick)
 
 
+def test_stored_ids_are_packed():
+    """Chunks and words keep four bytes for an id, and a bytes object."""
+    encoder = op06_bpe.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    text = prose(random.Random(12), 20_000)
+    ids = encoder.encode_all([text])[0]
+    assert ids == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    for store in (encoder.words, encoder.chunks):
+        held = sum(sys.getsizeof(v) + (0 if isinstance(v, bytes) else sum(map(sys.getsizeof, v))) for v in store.values())
+        assert len(store) > 50 and held <= sum(33 + 4 * (len(v) // 4 if isinstance(v, bytes) else len(v)) for v in store.values())
+
+
 def test_bpe_memory_keeps_what_is_used(monkeypatch):
     path = public_tokenizers.path("word_bpe_49k.json")
     monkeypatch.setattr(op06_bpe, "STORE_WORDS", 50)

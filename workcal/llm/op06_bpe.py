@@ -13,8 +13,9 @@ The store of chunks lives in the Python worker, which serves many tasks, and is
 bounded in bytes. No text is shuffled to be encoded: each chunk is encoded at most
 once per worker and filling of its store, which on large inputs costs less than
 moving chunks and tokens to meet each other would. Words are remembered in the same
-bounded way: of chunks and words those used since the last filling stay. A lost executor only
-loses what is stored; rows do not depend on it.
+bounded way: of chunks and words those used since the last filling stay. Ids are stored packed, four
+bytes each, as the stores of all workers of an executor stay in its memory while other stages run. A
+lost executor only loses what is stored; rows do not depend on it.
 
 New words are encoded together. Where the tokenizer's file is a byte-level vocabulary with
 an end-of-word sign, merges in the order of their ids, and the normalizer and splitting
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -213,11 +215,16 @@ class ChunkEncoder:
         self.reused = self.encoded = 0
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text. What no chunk in store covers is encoded for all texts together."""
-        plans: list[list[list[int] | bytes]] = []
-        wanted: dict[bytes, list[int]] = {}
+        """Ids of each text."""
+        return [np.frombuffer(x, dtype=np.int32).tolist() for x in self.packed_all(texts)]
+
+    def packed_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, packed. What no chunk in store covers is encoded for all texts together."""
+        plans: list[list[bytes]] = []
+        done: dict[bytes, bytes] = {}
+        wanted: set[bytes] = set()
         for text in texts:
-            plan: list[list[int] | bytes] = []
+            plan: list[bytes] = []
             for piece, shared in pieces(text.encode("utf-8", "surrogatepass")):
                 known = self.chunks.recall(piece) if shared else None
                 if known is not None or piece in wanted:
@@ -225,22 +232,21 @@ class ChunkEncoder:
                 elif shared:
                     self.encoded += 1
                 if known is None:
-                    wanted[piece] = []
-                plan.append(piece if known is None else known)
+                    wanted.add(piece)
+                else:
+                    done[piece] = known
+                plan.append(piece)
             plans.append(plan)
         split = {piece: piece.split() for piece in wanted}
         ids_of = self._ids_of(set().union(*split.values()))
         for piece, words in split.items():
-            wanted[piece].extend(chain.from_iterable(map(ids_of.__getitem__, words)))
+            done[piece] = ids = b"".join(map(ids_of.__getitem__, words))
             if len(piece) >= 64:
-                self.chunks.remember(piece, wanted[piece], len(piece) + 40)
-        return [
-            list(chain.from_iterable(wanted[part] if isinstance(part, bytes) else part for part in plan))
-            for plan in plans
-        ]
-
-    def _ids_of(self, words: set[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """The ids of each word; those that are not remembered are encoded together."""
+                self.chunks.remember(piece, ids, len(piece) + 40)
+        return [b"".join(map(done.__getitem__, plan)) for plan in plans]
+
+    def _ids_of(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The packed ids of each word; those that are not remembered are encoded together."""
         found = {w: ids for w in words if (ids := self.words.recall(w)) is not None}
         new = list(words - found.keys())
         texts = [w.decode("utf-8", "surrogatepass") for w in new]
@@ -248,7 +254,7 @@ class ChunkEncoder:
         ranked = iter(self.ranked.ids([t for t, q in zip(texts, quick) if q]) if self.ranked else ())
         other = iter(self._by_library([t for t, q in zip(texts, quick) if not q]))
         for word, q in zip(new, quick):
-            found[word] = ids = next(ranked if q else other)
+            found[word] = ids = array("i", next(ranked if q else other)).tobytes()
             self.words.remember(word, ids)
         return found
 
@@ -278,9 +284,10 @@ def encode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                ids = encoder.encode_all(texts_of(part))
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(ends[-1]))
+                packed = encoder.packed_all(texts_of(part))
+                flat = np.frombuffer(b"".join(packed), dtype=np.int32)
+                ends = np.cumsum([0, *(len(x) // 4 for x in packed)]).astype(np.int32)
+                ids = [flat[a:b].tolist() for a, b in zip(ends, ends[1:])]
                 yield batch_of(
                     doc_id=part.column("doc_id"), ids=pa.ListArray.from_arrays(ends, flat),
                     decoded=pa.array(encoder.decode_all(ids), pa.string()),
