@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from workcal.llm import (
+    components,
     op01_quality_fm,
     op02_ngram_join,
     op03_decontaminate,
@@ -153,6 +154,32 @@ def test_classes(docs, nothing, texts):
     assert op02_ngram_join.similar_classes(nothing).count() == 0
 
 
+def test_links_are_written_in_few_files(spark):
+    """Where adaptive execution leaves the partitions as they are: components of a path and of stars, and the tables of links."""
+    held = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    most = 2 * spark.sparkContext.defaultParallelism
+    assert most < 97
+    edges = [(k, k + 1) for k in range(40)] + [(1000 + 300 * s, 1000 + 300 * s + k) for s in range(3) for k in range(1, 200)]
+    texts = [(k, " ".join(f"w{k // 2}x{j}" for j in range(200))) for k in range(600)]
+    texts = [(k, f"{t} more" if k % 2 else t) for k, t in texts]
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = components.components(spark.createDataFrame(edges, "a bigint, b bigint"))
+        assert len(found.inputFiles()) <= most
+        label = {r.id: r.component for r in found.collect()}
+        frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+        pairs = spark.createDataFrame([(k, k + 1) for k in range(599)], "a bigint, b bigint").repartition(50)
+        links = op02_ngram_join.verified(frame, pairs, 3, 90)
+        assert len(links.inputFiles()) <= most
+        assert sorted((r.a, r.b) for r in links.collect()) == [(k, k + 1) for k in range(0, 600, 2)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert label == {k: 0 for k in range(41)} | {1000 + 300 * s + k: 1000 + 300 * s for s in range(3) for k in range(200)}
+
+
 def test_group_of_near_copies(spark):
     """Copies with many different edits: the classes are those of all pairs."""
     r = random.Random(8)
@@ -634,6 +661,24 @@ def test_bpe_memory_keeps_what_is_used(monkeypatch):
         assert len(encoder.words) + len(encoder.words.old) <= 100
 
 
+def test_bpe_memory_is_bounded_in_bytes(monkeypatch):
+    """Ids of chunks, chunks used again and long words count as what they take."""
+    monkeypatch.setattr(op06_bpe, "STORE_BYTES", 50_000)
+    monkeypatch.setattr(op06_bpe, "STORE_WORDS", 500)
+    encoder = op06_bpe.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    r = random.Random(31)
+    texts = [prose(r, 1500) for _ in range(12)]
+    for again in range(3):
+        for k, text in enumerate(texts):
+            ids = encoder.encode_all([text, " ".join(f"{again}x{k}x{j}" + "long" * 100 for j in range(20))])[0]
+            assert ids == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+            for half in (encoder.chunks, encoder.chunks.old):
+                assert sum(len(a) + len(b) for a, b in half.items()) <= 50_000
+            for half in (encoder.words, encoder.words.old):
+                assert sum(len(a) + len(b) for a, b in half.items()) <= 500 * 64
+    assert encoder.reused
+
+
 def test_bpe_query_against_the_library(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)

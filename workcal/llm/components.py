@@ -16,7 +16,7 @@ def components(edges: DataFrame) -> DataFrame:
     cluster; each round is a table of its own in the shared folder, so a lost executor
     repeats one round at most.
     """
-    current = stage(edges.filter("a <> b").select("a", "b").distinct(), "edges")
+    current = stage(edges.filter("a <> b").select("a", "b").distinct(), "edges", narrow=True)
     before = None
     while True:
         state = tuple(current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -25,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
                 current.select(F.least("a", "b").alias("id"), F.least("a", "b").alias("component"))
             ).distinct()
         before = state
-        current = stage(_small_star(_large_star(current)), "edges")
+        current = stage(_small_star(_large_star(current)), "edges", narrow=True)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -234,7 +234,7 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Data
     Only documents in pairs have their sets made again and shuffled. They are picked by
     a filter of 2^FILTER_BITS buckets, whose size does not depend on the number of pairs.
     """
-    pairs = stage(pairs.select("a", "b"), "ngram-pairs")
+    pairs = stage(pairs.select("a", "b"), "ngram-pairs", narrow=True)
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS)).cast("int")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).select(bucket("id").alias("bucket")).distinct()
     mask = np.zeros(1 << FILTER_BITS, dtype=bool)
@@ -269,7 +269,8 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Data
             yield batch_of(a=part.column("a"), b=part.column("b"))
 
     both = pairs.join(left, "a").join(right, "b")
-    return stage(map_batches(both, ["a", "b", "items_a", "items_b"], compare, "a bigint, b bigint").distinct(), "ngram-links")
+    links = map_batches(both, ["a", "b", "items_a", "items_b"], compare, "a bigint, b bigint").distinct()
+    return stage(links, "ngram-links", narrow=True)
 
 
 def similar_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -278,7 +279,7 @@ def similar_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     described = _describe(docs, size)
     rows = described.filter("block IS NULL").select("doc_id", "n", "print")
     equal = rows.filter("n > 0").groupBy("n", "print").agg(F.min("doc_id").alias("id"))
-    equal = stage(equal, "ngram-equal")
+    equal = stage(equal, "ngram-equal", narrow=True)
 
     prefixes = _prefixes(docs, _sketch(described), size, percent).filter("n > 0").dropDuplicates(["doc_id", "print"])
     sets = prefixes.join(equal, (prefixes["doc_id"] == equal["id"]) & (prefixes["print"] == equal["print"])).select(

@@ -13,9 +13,10 @@ The store of chunks lives in the Python worker, which serves many tasks, and is
 bounded in bytes. No text is shuffled to be encoded: each chunk is encoded at most
 once per worker and filling of its store, which on large inputs costs less than
 moving chunks and tokens to meet each other would. Words are remembered in the same
-bounded way: of chunks and words those used since the last filling stay. Ids are stored packed, four
-bytes each, as the stores of all workers of an executor stay in its memory while other stages run. A
-lost executor only loses what is stored; rows do not depend on it.
+bounded way, long ones in place of several: of chunks and words those used since the
+last filling stay. Ids are stored packed, four bytes each, as the stores of all workers
+of an executor stay in its memory while other stages run. A lost executor only loses
+what is stored; rows do not depend on it.
 
 New words are encoded together. Where the tokenizer's file is a byte-level vocabulary with
 an end-of-word sign, merges in the order of their ids, and the normalizer and splitting
@@ -32,7 +33,7 @@ from __future__ import annotations
 import json
 import os
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -49,9 +50,11 @@ from .texts import SPACES, batch_of, map_batches, table, texts_of
 
 #: A cut comes where this many bits of the rolling hash are zero: every 512 bytes on average.
 CUT_BITS = 9
-#: Bytes of chunks in each half of a worker's store, and number of words that it remembers.
+#: Bytes of chunks and their ids in each half of a worker's store, and number of words that each
+#: half remembers; a word counts once more for every ``LONG_WORD`` bytes of itself and its ids.
 STORE_BYTES = 16_000_000
-STORE_WORDS = 400_000
+STORE_WORDS = 200_000
+LONG_WORD = 64
 
 _GEAR = np.random.default_rng(2024).integers(0, 2**32, size=256, dtype=np.uint32)
 _IS_SPACE = np.zeros(256, dtype=bool)
@@ -98,9 +101,9 @@ def pieces(data: bytes, bits: int = CUT_BITS) -> Iterator[tuple[bytes, bool]]:
 class Generations(dict):
     """A bounded memory: when the young half is full it becomes the old half."""
 
-    def __init__(self, bound: int):
+    def __init__(self, bound: int, size: Callable[[bytes, bytes], int]):
         super().__init__()
-        self.bound, self.used, self.old = bound, 0, {}
+        self.bound, self.size, self.used, self.old = bound, size, 0, {}
 
     def recall(self, key):
         found = self.get(key)
@@ -108,7 +111,8 @@ class Generations(dict):
             self.remember(key, found)
         return found
 
-    def remember(self, key, value, size: int = 1) -> None:
+    def remember(self, key, value) -> None:
+        size = self.size(key, value)
         if self.used + size > self.bound:
             self.old, self.used = dict(self), 0
             self.clear()
@@ -210,8 +214,8 @@ class ChunkEncoder:
         self.tokens = None
         if spec.get("decoder") is None:
             self.tokens = {n: t for t, n in self.tokenizer.get_vocab(with_added_tokens=True).items()}
-        self.words = Generations(STORE_WORDS)
-        self.chunks = Generations(STORE_BYTES)
+        self.words = Generations(STORE_WORDS, lambda word, ids: 1 + (len(word) + len(ids)) // LONG_WORD)
+        self.chunks = Generations(STORE_BYTES, lambda piece, ids: len(piece) + len(ids) + 40)
         self.reused = self.encoded = 0
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
@@ -242,7 +246,7 @@ class ChunkEncoder:
         for piece, words in split.items():
             done[piece] = ids = b"".join(map(ids_of.__getitem__, words))
             if len(piece) >= 64:
-                self.chunks.remember(piece, ids, len(piece) + 40)
+                self.chunks.remember(piece, ids)
         return [b"".join(map(done.__getitem__, plan)) for plan in plans]
 
     def _ids_of(self, words: set[bytes]) -> dict[bytes, bytes]:

@@ -21,14 +21,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/workcal/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Later steps then reuse the rows instead of the plan behind them, a lost
     executor costs a re-read and not a re-run, and Spark knows the size on disk
     when it chooses a join.
+
+    ``narrow`` is for tables of a few numbers a row whose plan ends in a shuffle: they are
+    written in at most two files for each core of the cluster and not one for each partition.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    if narrow:
+        df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
