@@ -28,6 +28,7 @@ from workcal.llm import (
     op10_quality_rules,
 )
 from workcal.llm.queries import SQL
+from workcal.llm.texts import WordHashes
 
 SF_DIR = "/root/testdata/sf0.001"
 WORDS = "the of and onesen erblest therou heonha thntre wheron lyoren ingesh tionde".split()
@@ -204,6 +205,60 @@ def test_group_of_near_copies(spark):
     assert [got[k].component_id for k in range(150)] == label
 
 
+def test_pairs_with_few_common_shingles_are_settled_by_parities(spark, monkeypatch):
+    """With a sketch so full that it tells no shingle apart, documents that share a passage meet in the
+    index lists; only the linked ones of them have their whole sets compared."""
+    monkeypatch.setattr(op02_ngram_join, "SKETCH_BITS", 4)
+    monkeypatch.setattr(op02_ngram_join, "_BLOCK", 16)
+    compared, verified = [], op02_ngram_join.verified
+
+    def counted(docs, pairs, size, percent):
+        compared.append({(r.a, r.b) for r in pairs.collect()})
+        return verified(docs, pairs, size, percent)
+
+    monkeypatch.setattr(op02_ngram_join, "verified", counted)
+    passage = " ".join(f"shared{i}" for i in range(30))
+    rows = [(k, " ".join(f"d{k}w{i}" for i in range(90)) + " " + passage) for k in range(60)]
+    rows += [(100 + k, f"{t} more") for k, t in rows[:5]]
+    got = by_id(op02_ngram_join.similar_classes(spark.createDataFrame(rows, "doc_id bigint, text string"), 5, 80))
+    assert {k: r.component_id for k, r in got.items()} == {k: k % 100 for k, _ in rows}
+    linked = {(k, 100 + k) for k in range(5)}
+    assert {tuple(sorted(p)) for found in compared for p in found} == linked
+
+
+def test_order_of_shingles_in_a_full_sketch(spark, monkeypatch):
+    """A shingle that is common by less than what its counter has besides comes after the others."""
+    monkeypatch.setattr(op02_ngram_join, "SKETCH_BITS", 12)
+    sketch = np.full(1 << 12, 1100, dtype=np.uint32)
+    text = " ".join(f"w{i}" for i in range(100))
+    found, _ = op02_ngram_join.shingle_set(text.encode().split(), WordHashes(), 1)
+    common = found[:50] >> np.uint64(52)
+    sketch[common.astype(np.int64)] += 200
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    row = op02_ngram_join._prefixes(docs, sketch, 1, 80).first()
+    first = np.array(row.tokens, dtype=np.int64).view(np.uint64)
+    assert len(first) == 21 and not np.isin(first >> np.uint64(52), common).any()
+
+
+def test_parities_never_exceed_the_difference():
+    r = np.random.default_rng(3)
+    for _ in range(500):
+        one = np.unique(r.integers(0, 2**64, int(r.integers(1, 400)), dtype=np.uint64))
+        new = r.integers(0, 2**64, int(r.integers(1, 300)), dtype=np.uint64)
+        two = np.unique(np.concatenate([one[: r.integers(0, len(one) + 1)], new]))
+        x, y = op02_ngram_join.parities(one), op02_ngram_join.parities(two)
+        assert op02_ngram_join.apart(x, y) == op02_ngram_join.apart(y, x) <= len(np.setxor1d(one, two))
+        assert op02_ngram_join.apart(x, x) == 0
+
+
+def test_filter_grows_with_the_documents_that_are_fetched():
+    """Of a million pairs and more, as a corpus of some GB has, it still drops most other documents."""
+    assert op02_ngram_join._filter_bits(0) == op02_ngram_join.FILTER_BITS
+    for pairs in (10**5, 10**6, 4 * 10**6):
+        assert 2 * pairs / (1 << op02_ngram_join._filter_bits(pairs)) <= 1 / op02_ngram_join.SPARSE
+    assert op02_ngram_join._filter_bits(10**12) == op02_ngram_join.FILTER_MOST
+
+
 def test_decontamination(spark, docs, nothing, texts):
     question = "A farmer in Ohio sells 12 crates of ripe apples for 30 dollars and keeps 12 crates for winter storage at home."
     other = question.replace("12", "17").replace("30", "45").replace("Ohio", "Utah")
